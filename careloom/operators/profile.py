@@ -58,7 +58,7 @@ def date_columns(df: DataFrame, spec: DataFrame | None = None, table: str | None
     return [c for c in df.columns if c in names]
 
 
-def monthly_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def monthly_counts(df: DataFrame, columns: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """(field, year_month, count) for every date column, newest month first."""
     columns = columns or date_columns(df)
     months = [
@@ -67,7 +67,7 @@ def monthly_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     ]
     long = df.select(*months).unpivot([], list(columns), "field", "year_month")
     counts = long.groupBy("field", "year_month").agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy("field", F.desc("year_month"))
+    return counts.orderBy("field", F.desc("year_month")) if ordered else counts
 
 
 def width_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -99,7 +99,7 @@ def _parents_present(s: chains.Step, tables: Mapping[str, DataFrame]) -> bool:
 
 
 def monthly_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _report(tables, monthly_counts)
+    return _report(tables, lambda df: monthly_counts(df, ordered=False))
 
 
 def distinct_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -28,9 +28,8 @@ def write_union(parts: Iterable[DataFrame], path: str) -> None:
 
 
 def write_rejects(results: Mapping[str, Result], path: str) -> None:
-    """Beside the repaired table: the rows and the report of every repair, by its name."""
+    """Beside the repaired table, what every repair touched: its report, or else its rows."""
     for name, result in results.items():
-        if result.rejects is not None:
-            write_stage(result.rejects, f"{path}/{name}/rejects")
-        if result.report is not None:
-            write_stage(result.report, f"{path}/{name}/report")
+        touched = result.rejects if result.report is None else result.report
+        if touched is not None:
+            write_stage(touched, f"{path}/{name}")
