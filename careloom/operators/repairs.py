@@ -53,7 +53,7 @@ def remove_patterns(df: DataFrame, column: str, patterns: DataFrame) -> Result:
     The list becomes one quoted regular expression inside Spark, so the table is
     read once with a plain filter and nothing is compared pair by pair.
     """
-    hit = F.coalesce(F.col(column).rlike(one_pattern(patterns)), F.lit(False))
+    hit = F.coalesce(F.rlike(column, one_pattern(patterns)), F.lit(False))
     return Result(good=df.where(~hit), rejects=df.where(hit))
 
 

@@ -197,7 +197,7 @@ OMOP = SHARED | {
         {text('l_linenumber * 30')} AS days_supply, {pick('l_partkey', 'take one', None)} AS sig, 'L' || {text('l_suppkey')} AS lot_number,
         {pick('l_partkey', 'mg', 'mL')} AS dose_unit_source_value, {pick('l_partkey', 'PO', 'IV')} AS route_source_value,
         'drug ' || {text('l_partkey')} AS drug_source_value FROM {{lineitem}}""",
-    "drug_exposure_sup": f"""SELECT {text('o_orderkey * 10 + 1')} AS drug_exposure_id, '5' AS dose,
+    "drug_exposure_sup": f"""SELECT {text('o_orderkey * 10 + o_custkey % 7 + 1')} AS drug_exposure_id, '5' AS dose,
         {pick('o_orderkey', 'daily', 'weekly')} AS rx_frequency, {ORDER_DAY} AS drug_exposure_record_date,
         'CP' AS vx_status, 'OT' AS vx_status_reason, {pick('o_orderkey', 'PFR', 'MOD')} AS vx_manufatcurer,
         'arm' AS body_site_source_value, {text('o_orderkey')} AS procedure_occurrence_id FROM {{orders}}""",
