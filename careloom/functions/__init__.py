@@ -14,6 +14,6 @@ BY_NAME = {
         clinical.drg_version, clinical.drg_label, clinical.condition_status, clinical.lab_location,
         clinical.prn_flag, clinical.principal_diagnosis, clinical.present_on_admission,
         clinical.principal_procedure, clinical.discharge_disposition, clinical.result_qualifier,
-        clinical.other_or_no_information, clinical.encounter_type,
+        clinical.other_or_no_information,
     )
 }

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from careloom.functions.dates import DRG_CUTOFF
+from careloom.functions.dates import DRG_CUTOFF, iso_date
 
 # Result qualifiers kept as they are.
 RESULT_QUALIFIERS = (
@@ -31,7 +31,7 @@ def drg_label(admit_date: Column) -> Column:
 
 
 def _by_drg_cutoff(admit_date: Column, before: str, after: str) -> Column:
-    day = F.try_to_date(admit_date, "yyyy-MM-dd")
+    day = iso_date(admit_date)
     return F.when(day < F.lit(DRG_CUTOFF).cast("date"), before).when(day.isNotNull(), after)
 
 
@@ -112,33 +112,33 @@ def clean_code(c: Column) -> Column:
     return F.upper(F.trim(F.coalesce(c, F.lit(""))))
 
 
+def code_number(c: Column) -> Column:
+    """The digits of a code, read as one number."""
+    return F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
+
+
 def starts_with_any(c: Column, prefixes: tuple[str, ...]) -> Column:
-    return reduce(Column.__or__, [F.startswith(c, F.lit(p)) for p in prefixes])
+    return c.rlike(f"^(?:{'|'.join(prefixes)})")
 
 
-def digits_between(c: Column, bounds: tuple[int, int]) -> Column:
-    """The digits of the code, read as one number, lie within bounds."""
-    digits = F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
-    return F.coalesce(digits.between(*bounds), F.lit(False))
+def within(number: Column, bounds: tuple[int, int]) -> Column:
+    return F.coalesce(number.between(*bounds), F.lit(False))
 
 
 def encounter_type(
-    form: Column, bill: Column, revenue: Column, hcpcs: Column, place: Column, *modifiers: Column
+    form: Column, bill: Column, revenue: Column, hcpcs: Column, hcpcs_number: Column, place: Column, *modifiers: Column
 ) -> Column:
-    """Encounter type of a claim line.  Rules are tried in order within a form."""
-    form, bill, revenue, hcpcs, place = map(clean_code, (form, bill, revenue, hcpcs, place))
+    """Encounter type of a claim line, from cleaned codes.  Rules are tried in order within a form."""
 
     def billed(types: tuple[str, ...]) -> Column:
         # a bill type may carry a leading zero
         return starts_with_any(bill, types + tuple("0" + t for t in types))
 
-    emergency_care = digits_between(hcpcs, HCPCS_EMERGENCY_RANGE)
+    emergency_care = within(hcpcs_number, HCPCS_EMERGENCY_RANGE)
     emergency = starts_with_any(revenue, REVENUE_EMERGENCY) | emergency_care
     observation = hcpcs.isin(*HCPCS_OBSERVATION)
     remote = reduce(
-        Column.__or__,
-        [clean_code(m).isin(*MODIFIER_TELEHEALTH) for m in modifiers],
-        place.isin(*PLACE_TELEHEALTH),
+        Column.__or__, [m.isin(*MODIFIER_TELEHEALTH) for m in modifiers], place.isin(*PLACE_TELEHEALTH)
     )
     institutional = [
         (billed(BILL_INPATIENT) & emergency, "EI"),
@@ -152,7 +152,7 @@ def encounter_type(
     ]
     professional = [
         (emergency_care, "ED"),
-        (place.isin(*PLACE_FACILITY_CONSULT) | digits_between(hcpcs, HCPCS_CONSULT_RANGE), "IC"),
+        (place.isin(*PLACE_FACILITY_CONSULT) | within(hcpcs_number, HCPCS_CONSULT_RANGE), "IC"),
         (observation, "OS"),
         (remote, "TH"),
         (place.isin(*PLACE_AMBULATORY) | hcpcs.isin(*HCPCS_VISIT), "AV"),

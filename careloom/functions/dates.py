@@ -1,6 +1,10 @@
 """Dates and times held as text.
 
 A date that cannot be read becomes NULL; nothing here raises on bad text.
+
+The layouts that occur everywhere are recognised by their shape, rewritten as ISO
+text and cast.  That costs a match and a cast per value; trying parser patterns one
+after the other costs an exception for every one that fails.
 """
 
 from __future__ import annotations
@@ -19,31 +23,66 @@ TIME_FORMATS = ("H:mm:ss", "H:mm")
 UNKNOWN_DATE = "1900-01-01"
 DRG_CUTOFF = "2007-10-01"
 
+# Shape of each known layout, and its rewriting as ISO text where it is not ISO already.
+_US = "([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})"
+_SHAPES: dict[str, tuple[str, str | None]] = {
+    "yyyy-MM-dd": ("[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", None),
+    "yyyy-MM-dd HH:mm:ss": ("[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}", None),
+    "M/d/yyyy": (_US, "$3-$1-$2"),
+    "M/d/yyyy H:mm": (_US + " ([0-9]{1,2}:[0-9]{2})", "$3-$1-$2 $4:00"),
+    "yyyyMMdd": ("([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3"),
+    "H:mm:ss": ("([0-9]{1,2}:[0-9]{2}:[0-9]{2})", "1970-01-01 $1"),
+    "H:mm": ("([0-9]{1,2}:[0-9]{2})", "1970-01-01 $1:00"),
+}
+
+
+def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
+    """Wall-clock time of a text in one of the formats; other formats are Spark patterns.
+
+    Where both ISO layouts are welcome, any ISO text is left to the cast.
+    """
+    text = F.trim(c)
+    known = [_SHAPES[f] for f in formats if f in _SHAPES]
+    plain = [shape for shape, rewrite in known if rewrite is None]
+    if len(plain) == 2:
+        iso = F.when((F.length(text) >= 8) & (F.substring(text, 5, 1) == "-"), text)
+    else:
+        iso = F.when(text.rlike(f"^{plain[0]}$") if plain else F.lit(False), text)
+    for shape, rewrite in known:
+        if rewrite is not None:
+            iso = iso.when(text.rlike(f"^{shape}$"), F.regexp_replace(text, f"^{shape}$", rewrite))
+    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats if f not in _SHAPES]
+    return F.coalesce(iso.try_cast("timestamp_ntz"), *others)
+
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_date(F.trim(c), f) for f in formats])
+    return parse_datetime(c, formats).cast("date")
 
 
-def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(f)) for f in formats])
+def _day(c: Column) -> Column:
+    return F.substring(c.cast("string"), 1, 10)
+
+
+def _clock(c: Column) -> Column:
+    return F.substring(c.cast("string"), 12, 5)
 
 
 def format_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.date_format(parse_date(c, formats), "yyyy-MM-dd")
+    return _day(parse_datetime(c, formats))
 
 
 def format_time(c: Column, formats: Sequence[str] = DATETIME_FORMATS + TIME_FORMATS) -> Column:
-    return F.date_format(parse_datetime(c, formats), "HH:mm")
+    return _clock(parse_datetime(c, formats))
 
 
 def date_of_datetime(c: Column) -> Column:
     """Date part of a strict ``yyyy-MM-dd HH:mm:ss`` text."""
-    return F.date_format(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd")
+    return _day(parse_datetime(c, ["yyyy-MM-dd HH:mm:ss"]))
 
 
 def time_of_datetime(c: Column) -> Column:
     """Time part of a strict ``yyyy-MM-dd HH:mm:ss`` text."""
-    return F.date_format(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")), "HH:mm")
+    return _clock(parse_datetime(c, ["yyyy-MM-dd HH:mm:ss"]))
 
 
 def time_by_position(c: Column) -> Column:
@@ -52,11 +91,15 @@ def time_by_position(c: Column) -> Column:
 
 
 def us_date(c: Column) -> Column:
-    return F.date_format(F.try_to_date(c, "M/d/yyyy"), "yyyy-MM-dd")
+    return _day(parse_datetime(c, ["M/d/yyyy"]))
+
+
+def iso_date(c: Column) -> Column:
+    return parse_date(c, ["yyyy-MM-dd"])
 
 
 def date_or_default(c: Column, default: str = UNKNOWN_DATE) -> Column:
-    return F.coalesce(F.date_format(F.try_to_date(c, "yyyy-MM-dd"), "yyyy-MM-dd"), F.lit(default))
+    return F.coalesce(iso_date(c).cast("string"), F.lit(default))
 
 
 def datetime_or_default(c: Column, default: str = UNKNOWN_DATE) -> Column:
@@ -70,7 +113,7 @@ def first_date(*dates: Column, default: str = UNKNOWN_DATE) -> Column:
 
 def month_bucket(c: Column, typed: bool = False) -> Column:
     """``yyyy-MM`` of a date; ``typed`` columns skip the text parse."""
-    return F.date_format(c if typed else parse_datetime(c), "yyyy-MM")
+    return F.substring((c if typed else parse_datetime(c)).cast("date").cast("string"), 1, 7)
 
 
 def days_before(anchor: Column, c: Column) -> Column:

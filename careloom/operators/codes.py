@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LITERAL_ENTRIES = 64
+
 
 def dictionary(code_map: DataFrame, table: str, field: str, case_sensitive: bool = False) -> DataFrame:
     """The entries of one field.  A checked dictionary has one row per key."""
@@ -45,21 +47,57 @@ def map_codes(
     mode: str = "fallback",
     case_sensitive: Iterable[str] = (),
 ) -> DataFrame:
-    """Replace source codes by target codes.
+    """Replace source codes by target codes; the dictionary is a checked one.
 
-    ``fallback`` keeps a code without an entry, ``strict`` makes it NULL.  Each
-    field is one hash join with its slice of the (checked) dictionary, not a literal
-    map whose lookup is a scan and whose text swells the plan.
+    ``fallback`` keeps a code without an entry, ``strict`` makes it NULL.  A field
+    with few entries is mapped by a literal map inside the projection; one with many
+    by a hash join with its slice of the dictionary, since the lookup in a literal
+    map is a scan and its text swells the plan.
     """
-    exact = set(case_sensitive)
-    out = df
+    exact, fields = set(case_sensitive), list(fields)
+    few = small_dictionaries(code_map, table, fields) if fields else {}
+    mapped = {f: _by_literal(f, few[f], mode, f in exact) for f in fields if f in few}
+    out = df.withColumns(mapped) if mapped else df
     for field in fields:
-        side = dictionary(code_map, table, field, field in exact)
-        out = out.join(side, _key(F.col(field), field in exact) == F.col("__key"), "left")
-        mapped = F.col("__target") if mode == "strict" else F.coalesce("__target", field)
-        out = out.withColumn(field, mapped).drop("__key", "__target")
+        if field not in few:
+            out = _by_join(out, dictionary(code_map, table, field, field in exact), field, mode, field in exact)
     return out
 
 
+def small_dictionaries(code_map: DataFrame, table: str, fields: list[str]) -> dict[str, dict[str, str | None]]:
+    """The dictionaries of at most LITERAL_ENTRIES entries, a field without any included.
+
+    One aggregate over the dictionary; larger ones come back as a count only.
+    """
+    entry = F.struct("source_value", "target_value")
+    number = F.count(F.lit(1))
+    rows = (
+        code_map.where((F.col("table") == table) & F.col("field").isin(fields))
+        .groupBy("field")
+        .agg(F.when(number <= LITERAL_ENTRIES, F.collect_list(entry)).alias("entries"))
+        .collect()
+    )
+    found = {r["field"]: r["entries"] for r in rows}
+    return {
+        f: {e["source_value"]: e["target_value"] for e in found.get(f) or []}
+        for f in fields
+        if f not in found or found[f] is not None
+    }
+
+
+def _by_literal(field: str, entries: dict[str, str | None], mode: str, case_sensitive: bool) -> Column:
+    if not entries:
+        return F.lit(None).cast("string") if mode == "strict" else F.col(field)
+    pairs = [F.lit(v) for s, t in entries.items() for v in (s if case_sensitive else s.upper(), t)]
+    found = F.create_map(*pairs)[_key(F.col(field), case_sensitive)]
+    return found if mode == "strict" else F.coalesce(found, field)
+
+
+def _by_join(df: DataFrame, side: DataFrame, field: str, mode: str, case_sensitive: bool) -> DataFrame:
+    joined = df.join(side, _key(F.col(field), case_sensitive) == F.col("__key"), "left")
+    mapped = F.col("__target") if mode == "strict" else F.coalesce("__target", field)
+    return joined.withColumn(field, mapped).drop("__key", "__target")
+
+
 def _key(c: Column, case_sensitive: bool) -> Column:
     return c if case_sensitive else F.upper(c)

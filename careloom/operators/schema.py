@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from careloom.functions.dates import iso_date
 from careloom.operators.profile import width_profile
 
 # Widths agreed for open-width keys.
@@ -112,7 +113,7 @@ def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
             return F.lit(None).cast(f.dataType)
         c = F.col(f.name)
         if isinstance(f.dataType, T.DateType):
-            return F.try_to_date(c, "yyyy-MM-dd") if df.schema[f.name].dataType.typeName() == "string" else c.cast("date")
+            return iso_date(c) if df.schema[f.name].dataType.typeName() == "string" else c.cast("date")
         return c.try_cast(f.dataType)
 
     return df.select(*[typed(f).alias(f.name, metadata=f.metadata) for f in schema])

@@ -615,12 +615,11 @@ def _ids(values: list[str]) -> str:
 VITAL_SIGNS = {"HT": HEIGHT, "WT": WEIGHT, "DIASTOLIC": DIASTOLIC, "SYSTOLIC": SYSTOLIC, "ORIGINAL_BMI": BODY_MASS}
 VITAL_KEYS = ("ENCOUNTERID", "PATID")
 VITAL_ORDER = ("MEASURE_DATE", "MEASURE_TIME", "VITALID")
+NOTHING = "CAST(NULL AS STRING)"
 
 
-def _vital(source: str, stem: str, date: str, **values) -> Job:
-    """One part of VITAL: a signs or a smoking row, with blanks for what it does not carry."""
-    names = [*VITAL_SIGNS, "BP_POSITION", "SMOKING", "TOBACCO", "TOBACCO_TYPE", "RAW_DIASTOLIC", "RAW_SYSTOLIC",
-             "RAW_BP_POSITION", "RAW_SMOKING", "RAW_TOBACCO", "RAW_TOBACCO_TYPE"]
+def _vital(source: str, stem: str, date: str) -> Job:
+    """One part of VITAL: the columns that differ from row to row."""
     return Job(
         source=source,
         columns={
@@ -629,34 +628,46 @@ def _vital(source: str, stem: str, date: str, **values) -> Job:
             "ENCOUNTERID": "visit_occurrence_id",
             "MEASURE_DATE": use("format_date", f"{date}_date"),
             "MEASURE_TIME": use("format_time", f"{date}_datetime"),
-            "VITAL_SOURCE": Const("OD"),
-            **{n: values.get(n, BLANK) for n in names},
+            **{n: n for n in (*VITAL_SIGNS, "SMOKING")},
         },
     )
 
 
-VITAL_FROM_MEASUREMENT = _vital(
-    "signs", "measurement", "measurement",
-    **{n: n for n in VITAL_SIGNS}, RAW_DIASTOLIC="DIASTOLIC", RAW_SYSTOLIC="SYSTOLIC",
-)
-VITAL_FROM_OBSERVATION = _vital(
-    "smoking", "observation", "observation_start",
-    SMOKING="value_as_string", TOBACCO="value_as_string", RAW_SMOKING="value_as_string", RAW_TOBACCO="value_as_string",
-)
+VITAL_FROM_MEASUREMENT = _vital("signs", "measurement", "measurement")
+VITAL_FROM_OBSERVATION = _vital("smoking", "observation", "observation_start")
+# What the collapsed row is made into: copies of a value, and columns this source never fills.
+VITAL_COLUMNS = {
+    **{n: n for n in ("VITALID", "PATID", "ENCOUNTERID", "MEASURE_DATE", "MEASURE_TIME")},
+    "VITAL_SOURCE": "'OD'",
+    **{n: n for n in VITAL_SIGNS},
+    "BP_POSITION": NOTHING,
+    "SMOKING": "SMOKING",
+    "TOBACCO": "SMOKING",
+    "TOBACCO_TYPE": NOTHING,
+    "RAW_DIASTOLIC": "DIASTOLIC",
+    "RAW_SYSTOLIC": "SYSTOLIC",
+    "RAW_BP_POSITION": NOTHING,
+    "RAW_SMOKING": "SMOKING",
+    "RAW_TOBACCO": "SMOKING",
+    "RAW_TOBACCO_TYPE": NOTHING,
+}
 
 
 def vital(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per (encounter, patient) from the vital signs and smoking answers recorded there."""
     every = [i for ids in VITAL_SIGNS.values() for i in ids]
-    signs = tables["measurement"].where(f"trim(measurement_concept_id) IN {_ids(every)}")
-    for name, ids in VITAL_SIGNS.items():
-        signs = signs.selectExpr(
-            "*", f"CASE WHEN trim(measurement_concept_id) IN {_ids(ids)} THEN value_as_number END AS {name}"
-        )
-    smoking = tables["observation"].where(f"trim(observation_concept_id) IN {_ids(SMOKING)}")
+    signs = tables["measurement"].where(f"trim(measurement_concept_id) IN {_ids(every)}").selectExpr(
+        "*",
+        *[f"CASE WHEN trim(measurement_concept_id) IN {_ids(ids)} THEN value_as_number END AS {n}" for n, ids in VITAL_SIGNS.items()],
+        f"{NOTHING} AS SMOKING",
+    )
+    smoking = tables["observation"].where(f"trim(observation_concept_id) IN {_ids(SMOKING)}").selectExpr(
+        "*", *[f"{NOTHING} AS {n}" for n in VITAL_SIGNS], "value_as_string AS SMOKING"
+    )
     parts = {"signs": signs, "smoking": smoking}
     rows = run_job(VITAL_FROM_MEASUREMENT, parts).unionByName(run_job(VITAL_FROM_OBSERVATION, parts))
-    return collapse_first(rows, VITAL_KEYS, VITAL_ORDER)
+    one = collapse_first(rows, VITAL_KEYS, VITAL_ORDER)
+    return one.selectExpr(*[f"{e} AS {n}" for n, e in VITAL_COLUMNS.items()])
 
 
 def run(table: str, tables: dict[str, DataFrame]) -> DataFrame:

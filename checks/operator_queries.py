@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import job_sql
 from checks.registry import Inputs, query
 from careloom.functions import clinical, dates, ids, numbers, text
-from careloom.operators import codes, coverage, history, lookup, merge, orphans, profile, project, repairs, route, schema
+from careloom.operators import claims, codes, coverage, history, lookup, merge, orphans, profile, project, repairs, route, schema
 from careloom.operators.collapse import collapse_first
 from careloom.operators.dedup import dedup, last_per_key
 from careloom.plans import batch, chains
@@ -1035,8 +1035,8 @@ def _claim_sql() -> str:
 
 @query("encounter_type", _claim_sql())
 def _(t: Inputs):
-    args = [F.col(c) for c in ("form", "bill", "revenue", "hcpcs", "place", "mod1", "mod4")]
-    return t.view(CLAIMS).select("l_orderkey", "l_linenumber", clinical.encounter_type(*args).alias("enc_type"))
+    typed = claims.add_encounter_type(t.view(CLAIMS), "form", "bill", "revenue", "hcpcs", "place", ["mod1", "mod4"], name="enc_type")
+    return typed.select("l_orderkey", "l_linenumber", "enc_type")
 
 
 # --- pseudonyms --------------------------------------------------------------------

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import views
+from careloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +18,7 @@ class Inputs:
     """The given tables and the views over them, read on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
 
     def __getattr__(self, table: str) -> DataFrame:
         if table not in views.TABLES:

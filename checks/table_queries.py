@@ -31,22 +31,35 @@ def _omop(table: str) -> None:
 
 def _vital_sql() -> str:
     """The collapse of vital signs: first filled value by date, time and id."""
-    signs = {n: ids for n, ids in omop.VITAL_SIGNS.items()}
-    every = [i for ids in signs.values() for i in ids]
+    every = omop._ids([i for ids in omop.VITAL_SIGNS.values() for i in ids])
     cases = ", ".join(
-        f"CASE WHEN trim(measurement_concept_id) IN {omop._ids(ids)} THEN value_as_number END AS {n}" for n, ids in signs.items()
+        f"CASE WHEN trim(measurement_concept_id) IN {omop._ids(ids)} THEN value_as_number END AS {n}"
+        for n, ids in omop.VITAL_SIGNS.items()
+    )
+    blanks = ", ".join(f"'' AS {n}" for n in omop.VITAL_SIGNS)
+    m = f"SELECT *, {cases}, '' AS SMOKING FROM ({views.OMOP['measurement']}) WHERE trim(measurement_concept_id) IN {every}"
+    o = (
+        f"SELECT *, {blanks}, value_as_string AS SMOKING FROM ({views.OMOP['observation']}) "
+        f"WHERE trim(observation_concept_id) IN {omop._ids(omop.SMOKING)}"
     )
-    m = f"SELECT *, {cases} FROM ({views.OMOP['measurement']}) WHERE trim(measurement_concept_id) IN {omop._ids(every)}"
-    o = f"SELECT * FROM ({views.OMOP['observation']}) WHERE trim(observation_concept_id) IN {omop._ids(omop.SMOKING)}"
     parts = []
     for job, source in ((omop.VITAL_FROM_MEASUREMENT, m), (omop.VITAL_FROM_OBSERVATION, o)):
         columns = ", ".join(f"{job_sql.value_sql(v)} AS {n}" for n, v in job.columns.items())
         parts.append(f"SELECT {columns} FROM ({source})")
-    names = [n for n in omop.VITAL_FROM_MEASUREMENT.columns if n not in omop.VITAL_KEYS]
     order = ", ".join(f"{c} NULLS FIRST" for c in omop.VITAL_ORDER)
-    firsts = ", ".join(f"first({n} ORDER BY {order}) FILTER (WHERE {n} <> '') AS {n}" for n in names)
-    keys = ", ".join(omop.VITAL_KEYS)
-    return f"SELECT {keys}, {firsts} FROM ({' UNION ALL '.join(parts)}) GROUP BY {keys}"
+
+    def first(n: str) -> str:
+        return f"first({n} ORDER BY {order}) FILTER (WHERE {n} <> '')"
+
+    copies = {
+        "TOBACCO": "SMOKING", "RAW_SMOKING": "SMOKING", "RAW_TOBACCO": "SMOKING",
+        "RAW_DIASTOLIC": "DIASTOLIC", "RAW_SYSTOLIC": "SYSTOLIC",
+    }
+    own = ["VITALID", "MEASURE_DATE", "MEASURE_TIME", *omop.VITAL_SIGNS, "SMOKING"]
+    empty = ("BP_POSITION", "TOBACCO_TYPE", "RAW_BP_POSITION", "RAW_TOBACCO_TYPE")
+    out = [f"{first(n)} AS {n}" for n in own] + [f"{first(c)} AS {n}" for n, c in copies.items()]
+    out += [f"NULL::VARCHAR AS {n}" for n in empty] + ["'OD' AS VITAL_SOURCE"]
+    return f"SELECT ENCOUNTERID, PATID, {', '.join(out)} FROM ({' UNION ALL '.join(parts)}) GROUP BY ENCOUNTERID, PATID"
 
 
 VITAL_SQL = views.for_duckdb(_vital_sql())
