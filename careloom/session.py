@@ -7,9 +7,6 @@ import tempfile
 from pyspark.sql import SparkSession
 
 SETTINGS = {
-    # wide projections: beyond this size the JVM would interpret one huge generated
-    # method; Spark then splits it into methods that are compiled
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # hot keys are split and small sides broadcast by measured size
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -678,11 +678,13 @@ def _(t: Inputs):
 
 @query(
     "missing_tables",
-    "SELECT DISTINCT upper(p_name) AS TABLE_NAME FROM part WHERE upper(p_name) NOT IN (SELECT upper(p_name) FROM part WHERE p_size < 10)",
+    "SELECT DISTINCT upper(p_name || p_brand) AS TABLE_NAME FROM part WHERE upper(p_name || p_brand) NOT IN "
+    "(SELECT upper(p_name || p_brand) FROM part WHERE p_size < 10)",
 )
 def _(t: Inputs):
-    spec = t.part.select(F.upper("p_name").alias("TABLE_NAME"))
-    return merge.missing_tables(spec, t.part.where("p_size < 10").select(F.col("p_name").alias("tableName")))
+    named = t.part.withColumn("name", F.concat("p_name", "p_brand"))
+    spec = named.select(F.upper("name").alias("TABLE_NAME"))
+    return merge.missing_tables(spec, named.where("p_size < 10").select(F.col("name").alias("tableName")))
 
 
 @query(
