@@ -67,22 +67,14 @@ def map_codes(
 def small_dictionaries(code_map: DataFrame, table: str, fields: list[str]) -> dict[str, dict[str, str | None]]:
     """The dictionaries of at most LITERAL_ENTRIES entries, a field without any included.
 
-    One aggregate over the dictionary; larger ones come back as a count only.
+    One count per field decides; only the entries of small dictionaries are fetched.
     """
-    entry = F.struct("source_value", "target_value")
-    number = F.count(F.lit(1))
-    rows = (
-        code_map.where((F.col("table") == table) & F.col("field").isin(fields))
-        .groupBy("field")
-        .agg(F.when(number <= LITERAL_ENTRIES, F.collect_list(entry)).alias("entries"))
-        .collect()
-    )
-    found = {r["field"]: r["entries"] for r in rows}
-    return {
-        f: {e["source_value"]: e["target_value"] for e in found.get(f) or []}
-        for f in fields
-        if f not in found or found[f] is not None
-    }
+    entries = code_map.where((F.col("table") == table) & F.col("field").isin(fields))
+    sizes = {r["field"]: r["count"] for r in entries.groupBy("field").count().collect()}
+    few: dict[str, dict] = {f: {} for f in fields if sizes.get(f, 0) <= LITERAL_ENTRIES}
+    for r in entries.where(F.col("field").isin([f for f in few if f in sizes])).collect():
+        few[r["field"]][r["source_value"]] = r["target_value"]
+    return few
 
 
 def _by_literal(field: str, entries: dict[str, str | None], mode: str, case_sensitive: bool) -> Column:

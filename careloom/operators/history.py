@@ -36,6 +36,9 @@ def merge_history(
     entity, so no step builds all pairs of an entity's rows.
     """
     c = columns
+    incoming = incoming.withColumns(
+        {n: F.col(n).try_cast(existing.schema[n].dataType) for n in (c.entity, c.attribute)}
+    )
     per_value = incoming.groupBy(F.col(c.entity).alias("__e"), F.col(c.attribute).alias("__a")).agg(
         F.min_by(c.start, parse_date(F.col(c.start))).alias("__first"),
         F.max_by(c.start, parse_date(F.col(c.start))).alias("__last"),

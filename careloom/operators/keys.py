@@ -8,6 +8,8 @@ things on a large join:
 * the join gets an exchange of its own on both sides even when one side was just
   grouped by the same key, which is the shape in which adaptive execution splits
   the partition of a hot key.
+
+Both sides must have the key in the same type, or their hashes would not agree.
 """
 
 from __future__ import annotations
@@ -30,7 +32,12 @@ def with_spread(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(SPREAD, spread(F.col(key), *[F.col(c) for c in df.columns]))
 
 
-def parent_keys(parents: DataFrame, parent_key: str, name: str) -> DataFrame:
-    """Distinct non-NULL keys of a parent table, ready to be joined on (name, SPREAD)."""
-    keys = parents.select(F.col(parent_key).alias(name)).where(F.col(name).isNotNull()).distinct()
-    return keys.withColumn(SPREAD, spread(F.col(name)))
+def keys_of(parents: DataFrame, parent_key: str, child: DataFrame, key: str) -> DataFrame:
+    """Non-NULL parent keys under the child's name and type, ready to be joined on (key, SPREAD)."""
+    typed = F.col(parent_key).try_cast(child.schema[key].dataType).alias(key)
+    return parents.select(typed).where(F.col(key).isNotNull()).withColumn(SPREAD, spread(F.col(key)))
+
+
+def distinct_keys_of(parents: DataFrame, parent_key: str, child: DataFrame, key: str) -> DataFrame:
+    keys = keys_of(parents, parent_key, child, key).drop(SPREAD).distinct()
+    return keys.withColumn(SPREAD, spread(F.col(key)))

@@ -38,7 +38,9 @@ def lookup(
     test = [df[left] == side[k] for left, k in zip(on, keys)]
     if last_by:
         # the side is grouped by its key already; see keys.spread
-        df = with_spread(df, next(iter(on)))
+        first = next(iter(on))
+        df = with_spread(df, first)
+        side = side.withColumn(keys[0], F.col(keys[0]).try_cast(df.schema[first].dataType))
         side = side.withColumn("__side", spread(F.col(keys[0])))
         test = [df[left] == side[k] for left, k in zip(on, keys)] + [df[SPREAD] == side["__side"]]
     return df.join(side, test, how).drop(*keys, SPREAD, "__side")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careloom.operators.keys import SPREAD, parent_keys, spread, with_spread
+from careloom.operators.keys import SPREAD, distinct_keys_of, keys_of, spread, with_spread
 from careloom.operators.result import Result
 
 
@@ -16,7 +16,7 @@ def drop_orphans(df: DataFrame, parents: DataFrame, key: str, parent_key: str |
 
     The report is reduced to distinct keys before it meets the parents.
     """
-    found = _raw_keys(parents, parent_key or key, key)
+    found = keys_of(parents, parent_key or key, df, key)
     spreaded = with_spread(df, key)
     missing = df.select(key).distinct().withColumn(SPREAD, spread(F.col(key), F.col(key)))
     return Result(
@@ -28,11 +28,11 @@ def drop_orphans(df: DataFrame, parents: DataFrame, key: str, parent_key: str |
 
 def nullify_orphans(df: DataFrame, parents: DataFrame, key: str, parent_key: str | None = None) -> Result:
     """Keep every row; make the key NULL where the parent is missing; count rows per missing key."""
-    found = parent_keys(parents, parent_key or key, key).withColumn("__found", F.lit(True))
+    found = distinct_keys_of(parents, parent_key or key, df, key).withColumn("__found", F.lit(True))
     joined = with_spread(df, key).join(found, [key, SPREAD], "left")
     good = joined.withColumn(key, F.when(F.col("__found"), F.col(key))).select(*df.columns)
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-    raw = _raw_keys(parents, parent_key or key, key)
+    raw = keys_of(parents, parent_key or key, df, key)
     return Result(
         good=good,
         rejects=with_spread(df.where(F.col(key).isNotNull()), key).join(raw, [key, SPREAD], "left_anti").select(*df.columns),
@@ -54,7 +54,8 @@ def replicate(
     With ``how="left"`` a row without a parent gets NULLs; ``inner`` drops it.
     ``parents_unique`` saves the grouping when the parent is already one row per key.
     """
-    side = parents.where(F.col(key).isNotNull()).select(key, *columns)
+    typed = parents.withColumn(key, F.col(key).try_cast(df.schema[key].dataType))
+    side = typed.where(F.col(key).isNotNull()).select(key, *columns)
     if not parents_unique:
         first = F.min(F.struct(*columns)).alias("__first")
         side = side.groupBy(key).agg(first).select(key, "__first.*")
@@ -68,9 +69,3 @@ def replicate(
         good=joined.select(*fixed),
         rejects=joined.where(differs).select(*df.columns, *[F.col(f"__{c}").alias(f"SOURCE_{c}") for c in columns]),
     )
-
-
-def _raw_keys(parents: DataFrame, parent_key: str, name: str) -> DataFrame:
-    """Parent keys for a semi or anti join, which needs no distinct."""
-    keys = parents.select(F.col(parent_key).alias(name)).where(F.col(name).isNotNull())
-    return keys.withColumn(SPREAD, spread(F.col(name)))

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from careloom.operators.keys import SPREAD, spread, with_spread
+
 LAB, CLIN, GEN = "LAB_RESULT_CM", "OBS_CLIN", "OBS_GEN"
 DESTINATION = "__destination"
 HOME = "__home"
@@ -61,6 +63,13 @@ def _together(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _with_codes(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """Rows beside what the list, one row per text code, says of their code."""
+    side = side.withColumn("__side", spread(F.col("__code")))
+    test = (F.col("CODE") == F.col("__code")) & (F.col(SPREAD) == F.col("__side"))
+    return with_spread(rows, "CODE").join(side, test, "left").drop(SPREAD, "__side")
+
+
 def route(tables: Mapping[str, DataFrame], locations: DataFrame, copies: bool = False) -> DataFrame:
     """All rows in the common shape with the table each belongs in.
 
@@ -72,7 +81,7 @@ def route(tables: Mapping[str, DataFrame], locations: DataFrame, copies: bool =
     flags = locations.groupBy(F.col("loinc_num").alias("__code")).agg(
         *[F.max(F.col(f"found_in_{t}") == "1").alias(f"__{t}") for t in ("lab", "obs_clin", "obs_gen")]
     )
-    rows = _together(tables).join(flags, F.col("CODE") == F.col("__code"), "left")
+    rows = _with_codes(_together(tables), flags)
     lab, clin, gen = F.col("__lab"), F.col("__obs_clin"), F.col("__obs_gen")
     if copies:
         homes = F.array_compact(
@@ -97,7 +106,7 @@ def move_by_class(tables: Mapping[str, DataFrame], classes: DataFrame) -> DataFr
     rows = _together(tables)
     if "TYPE" not in rows.columns:
         rows = rows.withColumn("TYPE", F.lit(None).cast("string"))
-    rows = rows.join(side, F.col("CODE") == F.col("__code"), "left")
+    rows = _with_codes(rows, side)
     home, from_lab = F.col(HOME), F.col(HOME) == LAB
     typed = from_lab | (F.col("TYPE") == "LC")
     target: Column = F.lit(None).cast("string")

@@ -12,7 +12,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from careloom.operators import coverage as cov
+from careloom.operators import route
 from careloom.operators.dedup import Dedup, dedup
+from careloom.operators.history import merge_history
+from careloom.operators.lookup import remap_ids
 from careloom.operators.merge import union_all
 from careloom.operators.profile import monthly_counts, value_profile
 from careloom.plans import chains, mapping
@@ -31,6 +34,7 @@ DEDUP_KEYS = {
 DEDUP_WIDTHS = {"FACT_RELATIONSHIP": 5, "PROBLEM_CONTACT": 6, "INTERVENTION_CONTACT": 7}
 NOT_DEDUPLICATED = ("TUMOR_DATE",)
 NOT_PROFILED = ("FACT_RELATIONSHIP",)
+ADDRESSES = "LDS_ADDRESS_HISTORY"
 
 
 def dedup_keys(table: str, columns: Sequence[str]) -> list[str]:
@@ -43,12 +47,16 @@ def deduplicate(table: str, df: DataFrame) -> Dedup | None:
 
 @dataclass(frozen=True)
 class Batch:
+    """One delivery of a site.  ``folder`` is shared storage; see session.batch_folder."""
+
     folder: str
     site: mapping.Site
     code_map: DataFrame
     ruca_zip: DataFrame | None = None
     extra_fixes: Mapping[str, Sequence[chains.Step]] = field(default_factory=dict)
     lists: Mapping[str, DataFrame] = field(default_factory=dict)
+    code_locations: DataFrame | None = None
+    address_history: DataFrame | None = None
 
     def path(self, stage: str, table: str) -> str:
         return f"{self.folder}/{stage}/{table.lower()}"
@@ -83,7 +91,29 @@ def run_batch(
         write_stage(good, batch.path("fixed", table))
         write_rejects(results, batch.path("fixed_rejects", table))
         fixed[table] = read_stage(spark, batch.path("fixed", table))
-    return fixed
+    return fixed | _repair_across_tables(spark, batch, fixed)
+
+
+def _repair_across_tables(spark: SparkSession, batch: Batch, fixed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Repairs of several tables at once come last: results to where their code belongs, addresses to their history."""
+    out = {}
+    results = {t: fixed[t] for t in (route.LAB, route.CLIN, route.GEN) if t in fixed}
+    if batch.code_locations is not None and results:
+        path = batch.path("relocated", "results")
+        routed = route.route(results, batch.code_locations)
+        # one write decides for all rows; each table then reads its own part
+        routed.write.mode("overwrite").partitionBy(route.DESTINATION).parquet(path)
+        placed = read_stage(spark, path)
+        out = {t: route.from_common(placed, t, df.columns) for t, df in results.items()}
+    if batch.address_history is not None and ADDRESSES in fixed:
+        write_stage(merge_history(batch.address_history, fixed[ADDRESSES]), batch.path("relocated", ADDRESSES))
+        out[ADDRESSES] = read_stage(spark, batch.path("relocated", ADDRESSES))
+    return out
+
+
+def remap_patients(tables: Mapping[str, DataFrame], id_map: DataFrame, old: str, new: str) -> dict[str, DataFrame]:
+    """Every table under another set of patient ids; tables without patients stay as they are."""
+    return {t: remap_ids(df, id_map, "PATID", old, new) if "PATID" in df.columns else df for t, df in tables.items()}
 
 
 PARENT_OF_FIX = {

@@ -7,12 +7,10 @@ column names whatever their case.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from careloom.plans.spec import BLANK, Const, Job, Value, run_job, same, use
+from careloom.plans.spec import BLANK, Const, Job, Value, override, run_job, same, use
 from careloom.sources.files import Layout, choose_layout, read_layout
 
 
@@ -304,5 +302,4 @@ def read(spark: SparkSession, table: str, folder: str) -> tuple[DataFrame, Layou
 
 def run(table: str, df: DataFrame, sep: str = "~") -> DataFrame:
     job = JOBS[table]
-    columns = {**job.columns, **OTHER_VALUES.get((table, sep), {})}
-    return run_job(replace(job, columns=columns), {job.source: df})
+    return run_job(override(job, **OTHER_VALUES.get((table, sep), {})), {job.source: df})

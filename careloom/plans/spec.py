@@ -8,7 +8,7 @@ or a library function over source columns.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +62,11 @@ class Job:
     lookups: tuple[Lookup, ...] = field(default=())
 
 
+def override(job: Job, **columns: Value) -> Job:
+    """A job with a partner's own values for some columns."""
+    return replace(job, columns={**job.columns, **columns})
+
+
 def to_column(value: Value) -> Column:
     if isinstance(value, Const):
         return F.lit(value.value)

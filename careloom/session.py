@@ -19,7 +19,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is named."""
+def batch_folder(spark: SparkSession, name: str) -> str:
+    """Where the stages of a batch are written: below the shared folder the cluster names.
+
+    Only a session without one, as in tests, gets a temporary folder.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="careloom-")
+    return f"{named or tempfile.mkdtemp(prefix='careloom-')}/{name}"

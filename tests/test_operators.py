@@ -58,6 +58,11 @@ class TestOrphans:
         assert rows(r.report) == [("9", 2)]
         assert rows(r.rejects) == [("9", "d"), ("9", "e")]
 
+    def test_keys_of_another_type(self, spark):
+        numbers = spark.createDataFrame([(1,), (2,)], "P BIGINT")
+        assert orphans.drop_orphans(self.child(spark), numbers, "K", "P").good.count() == 2
+        assert orphans.nullify_orphans(self.child(spark), numbers, "K", "P").good.where("K IS NOT NULL").count() == 2
+
     def test_no_parents_at_all(self, spark):
         none = spark.createDataFrame([], "P STRING")
         assert orphans.nullify_orphans(self.child(spark), none, "K", "P").good.where("K IS NOT NULL").count() == 0
