@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careloom.functions.dates import month_bucket
+from careloom.functions.dates import month_bucket, parse_datetime
 from careloom.functions.numbers import round_percent
 
 
@@ -60,16 +60,20 @@ def date_columns(df: DataFrame, spec: DataFrame | None = None, table: str | None
 
 def monthly_counts(df: DataFrame, columns: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """(field, year_month, count) for every date column, newest month first."""
-    columns = columns or date_columns(df)
-    months = [
-        month_bucket(F.col(c), typed=df.schema[c].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")).alias(c)
-        for c in columns
-    ]
-    long = df.select(*months).unpivot([], list(columns), "field", "year_month")
-    counts = long.groupBy("field", "year_month").agg(F.count(F.lit(1)).alias("count"))
+    columns = list(columns or date_columns(df))
+    months = df.select(*[F.trunc(_as_date(df, c), "month").alias(c) for c in columns])
+    long = months.unpivot([], columns, "field", "month")
+    counted = long.groupBy("field", "month").agg(F.count(F.lit(1)).alias("count"))
+    # months are text only once they are few
+    counts = counted.select("field", month_bucket(F.col("month"), typed=True).alias("year_month"), "count")
     return counts.orderBy("field", F.desc("year_month")) if ordered else counts
 
 
+def _as_date(df: DataFrame, column: str) -> Column:
+    typed = df.schema[column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+    return F.col(column).cast("date") if typed else parse_datetime(F.col(column)).cast("date")
+
+
 def width_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(field, width): longest text of every column, at least 1."""
     columns = list(columns or df.columns)
