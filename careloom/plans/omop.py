@@ -608,7 +608,7 @@ JOBS: dict[str, Job] = {
 }
 
 
-def _ids(values: list[str]) -> str:
+def id_list(values: list[str]) -> str:
     return "('" + "', '".join(values) + "')"
 
 
@@ -656,12 +656,12 @@ VITAL_COLUMNS = {
 def vital(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per (encounter, patient) from the vital signs and smoking answers recorded there."""
     every = [i for ids in VITAL_SIGNS.values() for i in ids]
-    signs = tables["measurement"].where(f"trim(measurement_concept_id) IN {_ids(every)}").selectExpr(
+    signs = tables["measurement"].where(f"trim(measurement_concept_id) IN {id_list(every)}").selectExpr(
         "*",
-        *[f"CASE WHEN trim(measurement_concept_id) IN {_ids(ids)} THEN value_as_number END AS {n}" for n, ids in VITAL_SIGNS.items()],
+        *[f"CASE WHEN trim(measurement_concept_id) IN {id_list(ids)} THEN value_as_number END AS {n}" for n, ids in VITAL_SIGNS.items()],
         f"{NOTHING} AS SMOKING",
     )
-    smoking = tables["observation"].where(f"trim(observation_concept_id) IN {_ids(SMOKING)}").selectExpr(
+    smoking = tables["observation"].where(f"trim(observation_concept_id) IN {id_list(SMOKING)}").selectExpr(
         "*", *[f"{NOTHING} AS {n}" for n in VITAL_SIGNS], "value_as_string AS SMOKING"
     )
     parts = {"signs": signs, "smoking": smoking}

@@ -31,16 +31,16 @@ def _omop(table: str) -> None:
 
 def _vital_sql() -> str:
     """The collapse of vital signs: first filled value by date, time and id."""
-    every = omop._ids([i for ids in omop.VITAL_SIGNS.values() for i in ids])
+    every = omop.id_list([i for ids in omop.VITAL_SIGNS.values() for i in ids])
     cases = ", ".join(
-        f"CASE WHEN trim(measurement_concept_id) IN {omop._ids(ids)} THEN value_as_number END AS {n}"
+        f"CASE WHEN trim(measurement_concept_id) IN {omop.id_list(ids)} THEN value_as_number END AS {n}"
         for n, ids in omop.VITAL_SIGNS.items()
     )
     blanks = ", ".join(f"'' AS {n}" for n in omop.VITAL_SIGNS)
     m = f"SELECT *, {cases}, '' AS SMOKING FROM ({views.OMOP['measurement']}) WHERE trim(measurement_concept_id) IN {every}"
     o = (
         f"SELECT *, {blanks}, value_as_string AS SMOKING FROM ({views.OMOP['observation']}) "
-        f"WHERE trim(observation_concept_id) IN {omop._ids(omop.SMOKING)}"
+        f"WHERE trim(observation_concept_id) IN {omop.id_list(omop.SMOKING)}"
     )
     parts = []
     for job, source in ((omop.VITAL_FROM_MEASUREMENT, m), (omop.VITAL_FROM_OBSERVATION, o)):
