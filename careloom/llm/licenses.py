@@ -37,8 +37,9 @@ NOTICES = {
     "this source code form is subject to the terms of the mozilla public license": "mpl",
 }
 GRAM = 2
-# share of a notice's grams that one place must have
+# share of a notice's grams that one place must have, if it has many; licenses of one family differ by a word
 MIN_SHARE = 0.8
+MANY_GRAMS = 10
 # diagonals this far apart may belong to one place
 NEAR = 2
 _WORDS = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
@@ -90,8 +91,8 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] | None = None, notices:
 
     All runs of two words of all rows are hashed; those that some template has, compared word by word, are joined
     with the places of the templates, and each match votes for a diagonal: its place in the row less that in the
-    template.  A base phrase stands where its diagonal has every vote, so all places are counted.  A notice may
-    differ a little: neighbouring diagonals near each other are merged into one span, which counts if it has at
+    template.  A base phrase, or a short notice, stands where its diagonal has every vote, so all places are counted.
+    A long notice may differ a little: neighbouring diagonals are merged into one span, which counts if it has at
     least ``MIN_SHARE`` of the notice's votes within one and a half times its length.
 
     ``score`` is the best share of votes, 0 without a label; ``spans`` lists ``(label, first, last, share)``.  Rows
@@ -127,11 +128,12 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] | None = None, notices:
     voted = votes.groupBy("id", "mark", "template", "diagonal").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high"))
     voted = voted.join(F.broadcast(about), "template")
 
-    whole = voted.where("is_base AND n = grams").select("id", "mark", "label", "is_base", F.col("diagonal").alias("first"), F.expr("diagonal + grams").alias("last"), F.lit(1.0).alias("share"))
+    exact = f"(is_base OR grams < {MANY_GRAMS})"
+    whole = voted.where(f"{exact} AND n = grams").select("id", "mark", "label", "is_base", F.col("diagonal").alias("first"), F.expr("diagonal + grams").alias("last"), F.lit(1.0).alias("share"))
     order = Window.partitionBy("id", "mark", "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(order) > NEAR
     island = F.sum(F.coalesce(gap, F.lit(True)).cast("int")).over(order)
-    merged = voted.where("NOT is_base").withColumn("island", island).groupBy("id", "mark", "template", "island", "label", "is_base", "grams")
+    merged = voted.where(f"NOT {exact}").withColumn("island", island).groupBy("id", "mark", "template", "island", "label", "is_base", "grams")
     merged = merged.agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     fuzzy = merged.where(f"n >= {MIN_SHARE} * grams AND high - low < 1.5 * grams + 1").select("id", "mark", "label", "is_base", F.col("low").alias("first"), F.expr(f"high + {GRAM - 1}").alias("last"), F.least(F.lit(1.0), F.col("n") / F.col("grams")).alias("share"))
     spans = whole.unionByName(fuzzy)
