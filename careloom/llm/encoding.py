@@ -18,17 +18,24 @@ from careloom.llm.runtime import SEGMENT_BYTES, segments
 # bytes encoded together
 BATCH_BYTES = 2 << 20
 # pieces remembered by one worker; the older half is forgotten first
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 # letters of ASCII and Latin-1, and one closing mark that is a token of its own
-_LETTERS_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,])")
+_LETTERS_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)")
 _SPACES_IN_A_ROW = re.compile(rb"[\x09-\x0d\x20]{2}|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\xaa\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters by which byte-level tokenizers write bytes: printed ones of Latin-1 stand for themselves, the others for those from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Memory:
-    """Values by piece in two generations, so that what is in use stays and the size is bounded."""
+    """Lengths by piece in two generations, so that what is in use stays and the size is bounded."""
 
-    def __init__(self, encode, join, size: int = REMEMBERED):
-        self.encode, self.join, self.size = encode, join, size
+    def __init__(self, encode, size: int = REMEMBERED):
+        self.encode, self.size = encode, size
         self.known: dict = {}
         self.before: dict = {}
 
@@ -47,7 +54,7 @@ class Memory:
                 known[piece] = value
                 continue
             m = _LETTERS_MARK.fullmatch(piece)
-            if m:
+            if m and m[2]:
                 marked.append((piece, m[1], m[2]))
                 piece = m[1]
                 if piece in known:
@@ -60,8 +67,8 @@ class Memory:
         if unseen:
             unseen = list(dict.fromkeys(unseen))
             known.update(zip(unseen, self.encode(unseen)))
-        for piece, letters, mark in marked:
-            known[piece] = self.join(known[letters], mark)
+        for piece, letters, _ in marked:  # the mark is one token
+            known[piece] = known[letters] + 1
         return known
 
 
@@ -98,44 +105,59 @@ def _kind(path: str) -> str:
 class TextIds:
     """Ids of whole texts as little-endian unsigned integers of ``width`` bytes."""
 
-    def __init__(self, path: str):
-        self.library, self.kind = _library(path), _kind(path)
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.library, self.kind, self.remembered = _library(path), _kind(path), remembered
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.width = array.array(self.code).itemsize
-        marks: dict[bytes, bytes] = {}
-
-        def join(letters: bytes, mark: bytes) -> bytes:
-            if mark not in marks:
-                marks[mark] = self._encode([mark])[0]
-            return letters + marks[mark]
-
-        self.memory = Memory(self._encode, join)
+        self.known = _Known(self, {})
 
     def pack(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
 
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
-        return [self.pack(e.ids) for e in found]
+    def encode(self, text: bytes) -> bytes:
+        return self.pack(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
     def ids(self, text: bytes | None) -> bytes:
         """A text without tokens, and a null one, has none."""
         if not text:
             return b""
         if self.kind != "words" or b"<|" in text:
-            return self._encode([text])[0]
-        if len(text) <= SEGMENT_BYTES:
-            return self._words(text)
+            return self.encode(text)
         return b"".join(map(self._words, segments(text)))
 
     def _words(self, text: bytes) -> bytes:
-        words = text.lower().split()
-        try:
-            known = self.memory.known
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            known = self.memory.learn(words)
-            return b"".join([known[w] for w in words])
+        if len(self.known) > self.remembered // 2:
+            self.known = _Known(self, self.known)
+        known = self.known
+        return b"".join([known[w] for w in text.lower().split()])
+
+
+class _Known(dict):
+    """Ids of words, encoded when first asked for; what an earlier generation knows is taken over.
+
+    A word of letters alone is one word of the tokenizer too and goes to its model at once, spelled as byte-level
+    tokenizers write bytes; with a mark behind it, it is two.
+    """
+
+    def __init__(self, ids: TextIds, before: dict):
+        super().__init__()
+        self.model, self.encode, self.pack, self.letters = ids.library.model, ids.encode, ids.pack, _byte_letters()
+        self.before = dict(before)
+
+    def __missing__(self, word: bytes) -> bytes:
+        value = self.before.get(word)
+        if value is None:
+            if word.isalpha():
+                value = self._letters(word.decode())
+            elif m := _LETTERS_MARK.fullmatch(word):
+                value = self[m[1]] + self[m[2]] if m[2] else self._letters(word.decode().lower().encode().decode("latin-1").translate(self.letters))
+            else:
+                value = self.encode(word)
+        self[word] = value
+        return value
+
+    def _letters(self, spelled: str) -> bytes:
+        return self.pack([t.id for t in self.model.tokenize(spelled)])
 
 
 class TextLengths:
@@ -152,8 +174,8 @@ class TextLengths:
         if self.kind == "words":
             self.kind = "whole"  # its counts come by TextIds
             self.by_ids = TextIds(path)
-        self.bare = Memory(lambda pieces: self._encode(pieces, ""), lambda n, _: n + 1, REMEMBERED // 8)
-        self.spaced = Memory(lambda pieces: self._encode(pieces, " "), lambda n, _: n + 1)
+        self.bare = Memory(lambda pieces: self._encode(pieces, ""), REMEMBERED // 8)
+        self.spaced = Memory(lambda pieces: self._encode(pieces, " "))
 
     def _encode(self, pieces: list[bytes], before: str) -> list[int]:
         texts = [before + p.decode("utf-8", "replace") for p in pieces]

@@ -62,8 +62,7 @@ def test_segments(text, size):
 
 
 def test_memory_forgets(word):
-    ids = encoding.TextIds(WORD)
-    ids.memory.size = 6
+    ids = encoding.TextIds(WORD, 6)
     for text in ("a b c d e f g", "h i j k", "a. b, c.", "zz zz. zz,", "a b h zz"):
         assert np.frombuffer(ids.ids(text.encode()), "<u2").tolist() == word(text)
 
