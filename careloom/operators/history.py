@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from careloom.functions.dates import earlier_of, later_of, parse_date
-from careloom.operators.keys import SPREAD, spread, with_spread
+from careloom.operators.keys import SPREAD, WIDTH, spread, with_spread
 
 
 @dataclass(frozen=True)
@@ -20,25 +21,72 @@ class HistoryColumns:
 
 
 def merge_history(
-    existing: DataFrame, incoming: DataFrame, columns: HistoryColumns = HistoryColumns(), *, add_new: bool = True
+    existing: DataFrame, incoming: DataFrame, columns: HistoryColumns = HistoryColumns(), *, add_new: bool = True, parity: bool = False
 ) -> DataFrame:
-    """Existing periods, closed or widened by what came in, plus the new periods.
+    """Every existing period once, widened, closed or as it was, plus the new periods.
 
-    * entity not in ``incoming``: the period stays;
-    * another attribute came in: the period ends at the earliest start among those
-      rows, or at its own start when that is later;
-    * the same attribute came in: the period is widened to the earliest and latest
+    * the same attribute came in again: the period is widened to the earliest and latest
       starts received;
-    * entity not in ``existing``: the incoming row is added; with ``add_new`` also
-      the rows of known entities whose attribute is new.
-
-    Incoming rows are first reduced to one summary per (entity, attribute) and per
-    entity, so no step builds all pairs of an entity's rows.
+    * else, only others came in: it ends at the earliest of their starts that is later
+      than its own;
+    * else it stays as it is;
+    * incoming rows whose entity and attribute are not there yet are added; without
+      ``add_new`` only those of unknown entities.
+
+    A missing entity or attribute equals a missing one.  So the result has the existing
+    rows and the new ones, and a second run adds nothing.
+
+    Incoming rows are reduced to one summary per (entity, attribute) and one per entity,
+    which lists its different days; no step builds all pairs of an entity's rows.  With
+    ``parity`` an existing row comes out once for each of the first two cases that apply,
+    as in data already released.
     """
     c = columns
-    incoming = incoming.withColumns(
-        {n: F.col(n).try_cast(existing.schema[n].dataType) for n in (c.entity, c.attribute)}
+    types = {n: F.col(n).try_cast(existing.schema[n].dataType) for n in (c.entity, c.attribute)}
+    incoming = incoming.withColumns(types)
+    if parity:
+        return _fanned_out(existing, incoming, c, add_new)
+    day = parse_date(F.col(c.start))
+    starts = F.struct(day.alias("day"), F.col(c.start).alias("text"))
+    known = F.when(day.isNotNull(), starts)
+    same = incoming.groupBy(F.col(c.entity).alias("__e"), F.col(c.attribute).alias("__a")).agg(
+        F.min(known).alias("__first"), F.max(known).alias("__last"), F.lit(True).alias("__same")
     )
+    # an entity has at most as many entries as the calendar has days
+    days = incoming.where(day.isNotNull()).groupBy(F.col(c.entity).alias("__o"), day.alias("__day")).agg(F.min(c.start).alias("__text"))
+    days = days.groupBy("__o").agg(F.array_sort(F.collect_list(F.struct(F.col("__day").alias("day"), F.col("__text").alias("text")))).alias("__days"))
+
+    joined = _beside(existing, same, [(c.entity, "__e"), (c.attribute, "__a")])
+    joined = _beside(joined, days, [(c.entity, "__o")])
+    later = F.filter("__days", lambda d: d["day"] > day)
+    following = F.when(day.isNotNull(), later).otherwise(F.col("__days"))
+    end = F.when(F.col("__same"), later_of(F.coalesce(c.start, "__last.text"), F.col("__last.text")))
+    end = end.otherwise(F.coalesce(F.get(following, F.lit(0))["text"], F.col(c.end)))
+    start = F.when(F.col("__same"), earlier_of(F.coalesce(c.start, "__first.text"), F.col("__first.text"))).otherwise(F.col(c.start))
+    kept = joined.withColumns({"__start": start, "__end": end})
+    kept = kept.withColumns({c.start: F.col("__start"), c.end: F.col("__end")}).select(*existing.columns)
+    return kept.unionByName(_fresh(existing, incoming, [c.entity, c.attribute] if add_new else [c.entity]))
+
+
+def _beside(df: DataFrame, side: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
+    """Rows beside the one row of the other side that equals them, a missing value equalling a missing one.
+
+    The second key is made of the values themselves, so the join has exchanges of its own and a hot value is split.
+    """
+    mark = F.pmod(F.xxhash64(*[F.col(k) for _, k in on]), F.lit(WIDTH))
+    own = F.pmod(F.xxhash64(*[F.col(k) for k, _ in on]), F.lit(WIDTH))
+    test = reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in on])
+    side, df = side.withColumn("__mark", mark), df.withColumn("__own", own)
+    return df.join(side, test & (F.col("__own") == F.col("__mark")), "left").drop("__own", "__mark", *[y for _, y in on])
+
+
+def _fresh(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    known = existing.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    test = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return incoming.join(known, test, "left_anti").select(*existing.columns)
+
+
+def _fanned_out(existing: DataFrame, incoming: DataFrame, c: HistoryColumns, add_new: bool) -> DataFrame:
     per_value = incoming.groupBy(F.col(c.entity).alias("__e"), F.col(c.attribute).alias("__a")).agg(
         F.min_by(c.start, parse_date(F.col(c.start))).alias("__first"),
         F.max_by(c.start, parse_date(F.col(c.start))).alias("__last"),
