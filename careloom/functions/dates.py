@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "yyyyMMdd")
 DATETIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy H:mm", "M/d/yyyy")
 TIME_FORMATS = ("H:mm:ss", "H:mm")
+# Two-digit years up to 68 are of this century, the others of the last.
+ANY_FORMATS = (
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyyMMdd", "yyyyMMdd HHmmss", "yyyy/M/d",
+    "M-d-yyyy", "M/d/yy", "M/d/yy (1900)", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "d MMM yyyy", "d-MMM-yyyy", "dMMMyyyy", "MMM d, yyyy",
+)
 
 # Stand-in date for an unusable one, and the day the DRG system changed.
 UNKNOWN_DATE = "1900-01-01"
@@ -30,12 +35,30 @@ _SHAPES: dict[str, tuple[str, str | None]] = {
     "yyyy-MM-dd HH:mm:ss": ("[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}", None),
     "M/d/yyyy": (_US, "$3-$1-$2"),
     "M/d/yyyy H:mm": (_US + " ([0-9]{1,2}:[0-9]{2})", "$3-$1-$2 $4:00"),
+    "M/d/yyyy H:mm:ss": (_US + " ([0-9]{1,2}:[0-9]{2}:[0-9]{2})", "$3-$1-$2 $4"),
     "yyyyMMdd": ("([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3"),
+    "yyyyMMdd HHmmss": ("([0-9]{4})([0-9]{2})([0-9]{2}) ?([0-9]{2})([0-9]{2})([0-9]{2})", "$1-$2-$3 $4:$5:$6"),
+    "yyyy/M/d": ("([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", "$1-$2-$3"),
+    "M-d-yyyy": ("([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})", "$3-$1-$2"),
+    "M/d/yy": ("([0-9]{1,2})/([0-9]{1,2})/([0-5][0-9]|6[0-8])", "20$3-$1-$2"),
+    "M/d/yy (1900)": ("([0-9]{1,2})/([0-9]{1,2})/(69|[7-9][0-9])", "19$3-$1-$2"),
     "H:mm:ss": ("([0-9]{1,2}:[0-9]{2}:[0-9]{2})", "1970-01-01 $1"),
     "H:mm": ("([0-9]{1,2}:[0-9]{2})", "1970-01-01 $1:00"),
 }
 
 
+# Layouts left to the parser, which is called only where the shape fits.
+_CLOCK = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} (0?[1-9]|1[0-2]):[0-5][0-9]"
+_PARSED: dict[str, str] = {
+    "M/d/yyyy h:mm a": _CLOCK + " (?i:AM|PM)",
+    "M/d/yyyy h:mm:ss a": _CLOCK + ":[0-5][0-9] (?i:AM|PM)",
+    "d MMM yyyy": "[0-9]{1,2} [A-Za-z]{3} [0-9]{4}",
+    "d-MMM-yyyy": "[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}",
+    "dMMMyyyy": "[0-9]{1,2}[A-Za-z]{3}[0-9]{4}",
+    "MMM d, yyyy": "[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}",
+}
+
+
 def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
     """Wall-clock time of a text in one of the formats; other formats are Spark patterns.
 
@@ -51,7 +74,11 @@ def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Colu
     for shape, rewrite in known:
         if rewrite is not None:
             iso = iso.when(text.rlike(f"^{shape}$"), F.regexp_replace(text, f"^{shape}$", rewrite))
-    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats if f not in _SHAPES]
+    others = []
+    for f in formats:
+        if f not in _SHAPES:
+            parsed = F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz")
+            others.append(F.when(text.rlike(f"^{_PARSED[f]}$"), parsed) if f in _PARSED else parsed)
     return F.coalesce(iso.try_cast("timestamp_ntz"), *others)
 
 
@@ -67,11 +94,16 @@ def _clock(c: Column) -> Column:
     return F.substring(c.cast("string"), 12, 5)
 
 
-def format_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def format_date(c: Column, formats: Sequence[str] = ANY_FORMATS) -> Column:
     return _day(parse_datetime(c, formats))
 
 
-def format_time(c: Column, formats: Sequence[str] = DATETIME_FORMATS + TIME_FORMATS) -> Column:
+def unreadable(c: Column, formats: Sequence[str] = ANY_FORMATS) -> Column:
+    """Whether a text that is not blank cannot be read as a date."""
+    return F.coalesce(F.trim(c) != "", F.lit(False)) & parse_datetime(c, formats).isNull()
+
+
+def format_time(c: Column, formats: Sequence[str] = ANY_FORMATS + TIME_FORMATS) -> Column:
     return _clock(parse_datetime(c, formats))
 
 

@@ -13,8 +13,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def keyed_pseudonym(c: Column, site: str, key: str) -> Column:
-    return F.sha2(F.concat(F.lit(key), F.lit(site), c.cast("string")), 256)
+def keyed_pseudonym(c: Column, site: str, key: str, salt: str = "") -> Column:
+    """SHA-256 of a digest of (key, site, salt) followed by the id.
+
+    The digest has a fixed length, and in it every part is preceded by its own, so no two
+    sites, salts or ids can run into each other.  It is made on the driver: the key itself
+    is in no plan, event log or user interface.
+    """
+    parts = b"".join(len(p).to_bytes(8, "big") + p for p in (x.encode() for x in (key, site, salt)))
+    return F.sha2(F.concat(F.lit(hashlib.sha256(parts).hexdigest()), c.cast("string")), 256)
 
 
 def xor_pseudonym(c: Column, site: str, seed: str) -> Column:
@@ -36,5 +43,8 @@ def pseudonym(c: Column, site: str, key: str, mode: str = "keyed", salt: str | N
     """``salt`` (a table name) keeps ids of tables that exchange rows apart."""
     if not site:
         raise ValueError("a site code is required")
-    salted = F.concat(c.cast("string"), F.lit(salt)) if salt else c
-    return {"keyed": keyed_pseudonym, "xor": xor_pseudonym}[mode](salted, site, key)
+    if mode == "keyed":
+        return keyed_pseudonym(c, site, key, salt or "")
+    if mode != "xor":
+        raise ValueError(f"no such mode: {mode}")
+    return xor_pseudonym(F.concat(c.cast("string"), F.lit(salt)) if salt else c, site, key)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careloom.functions.dates import month_bucket, parse_datetime
+from careloom.functions.dates import month_bucket, parse_datetime, unreadable
 from careloom.functions.numbers import round_percent
 
 
@@ -79,3 +79,9 @@ def width_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     columns = list(columns or df.columns)
     widest = [F.greatest(F.coalesce(F.max(F.length(F.col(c).cast("string"))), F.lit(1)), F.lit(1)).alias(c) for c in columns]
     return df.agg(*widest).unpivot([], columns, "field", "width")
+
+
+def unreadable_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(field, unreadable): how many texts of every date column are neither blank nor a date, in one pass."""
+    lost = [F.count_if(unreadable(F.col(c))).alias(c) for c in columns]
+    return df.agg(*lost).unpivot([], list(columns), "field", "unreadable")
