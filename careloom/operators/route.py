@@ -36,9 +36,10 @@ CLASS_OF = {LAB: ["1"], CLIN: ["2"], GEN: ["3", "4"]}
 MOVES = ((LAB, CLIN), (LAB, GEN), (CLIN, LAB), (GEN, LAB), (CLIN, GEN))
 
 
-def _common_name(table: str, column: str) -> str:
+def _common_name(table: str, column: str, one_type: bool) -> str:
+    """``one_type``: the tables' code types are one column."""
     if table == LAB:
-        return LAB_NAMES.get(column, column)
+        return "TYPE" if one_type and column == "LAB_PX_TYPE" else LAB_NAMES.get(column, column)
     prefix = OBS_PREFIX[table]
     if column == f"{prefix}ID":
         return "ID"
@@ -47,19 +48,20 @@ def _common_name(table: str, column: str) -> str:
     return column.replace(f"RAW_{prefix}_", "RAW_").removeprefix(f"{prefix}_")
 
 
-def to_common(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(_common_name(table, c)) for c in df.columns], F.lit(table).alias(HOME))
+def to_common(df: DataFrame, table: str, one_type: bool = True) -> DataFrame:
+    return df.select(*[F.col(c).alias(_common_name(table, c, one_type)) for c in df.columns], F.lit(table).alias(HOME))
 
 
-def from_common(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    wanted = [(c, _common_name(table, c)) for c in columns]
+def from_common(df: DataFrame, table: str, columns: list[str], one_type: bool = True) -> DataFrame:
+    """The rows that belong in a table, under its names; ``one_type`` as when they were put together."""
+    wanted = [(c, _common_name(table, c, one_type)) for c in columns]
     return df.where(F.col(DESTINATION) == table).select(
         *[(F.col(n) if n in df.columns else F.lit(None).cast("string")).alias(c) for c, n in wanted]
     )
 
 
-def _together(tables: Mapping[str, DataFrame]) -> DataFrame:
-    parts = [to_common(df, t) for t, df in tables.items()]
+def _together(tables: Mapping[str, DataFrame], one_type: bool) -> DataFrame:
+    parts = [to_common(df, t, one_type) for t, df in tables.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -73,6 +75,7 @@ def _with_codes(rows: DataFrame, side: DataFrame) -> DataFrame:
 def route(tables: Mapping[str, DataFrame], locations: DataFrame, copies: bool = False) -> DataFrame:
     """All rows in the common shape with the table each belongs in.
 
+    The code type travels along: LAB_PX_TYPE and the types of the OBS tables are one.
     ``locations``: loinc_num, found_in_lab, found_in_obs_clin, found_in_obs_gen.
     A code in several tables goes to the first of lab, clinical, general; one in no
     table stays.  With ``copies`` a code in lab and clinical goes to both, and a
@@ -81,7 +84,7 @@ def route(tables: Mapping[str, DataFrame], locations: DataFrame, copies: bool =
     flags = locations.groupBy(F.col("loinc_num").alias("__code")).agg(
         *[F.max(F.col(f"found_in_{t}") == "1").alias(f"__{t}") for t in ("lab", "obs_clin", "obs_gen")]
     )
-    rows = _with_codes(_together(tables), flags)
+    rows = _with_codes(_together(tables, True), flags)
     lab, clin, gen = F.col("__lab"), F.col("__obs_clin"), F.col("__obs_gen")
     if copies:
         homes = F.array_compact(
@@ -98,12 +101,12 @@ def route(tables: Mapping[str, DataFrame], locations: DataFrame, copies: bool =
 def move_by_class(tables: Mapping[str, DataFrame], classes: DataFrame) -> DataFrame:
     """All rows in the common shape with the table each belongs in by its code's class.
 
-    ``classes``: loinc_num, classtype.  Rows of the OBS tables move only when they
+    ``classes``: loinc_num, classtype.  The lab table keeps its LAB_PX_TYPE.  Rows of the OBS tables move only when they
     are typed as such codes.  A row moves at most once, since where it arrives is
     where its class belongs.
     """
     side = classes.groupBy(F.col("loinc_num").alias("__code")).agg(F.min("classtype").alias("__class"))
-    rows = _together(tables)
+    rows = _together(tables, False)
     if "TYPE" not in rows.columns:
         rows = rows.withColumn("TYPE", F.lit(None).cast("string"))
     rows = _with_codes(rows, side)

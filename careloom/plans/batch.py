@@ -17,8 +17,8 @@ from careloom.operators.dedup import Dedup, dedup
 from careloom.operators.history import merge_history
 from careloom.operators.lookup import remap_ids
 from careloom.operators.merge import union_all
-from careloom.operators.profile import monthly_counts, value_profile
-from careloom.plans import chains, mapping
+from careloom.operators.profile import date_columns, monthly_counts, value_profile
+from careloom.plans import chains, mapping, pcornet
 from careloom.sinks.stage import write_rejects, write_stage
 from careloom.sources.files import read_stage
 
@@ -47,7 +47,12 @@ def deduplicate(table: str, df: DataFrame) -> Dedup | None:
 
 @dataclass(frozen=True)
 class Batch:
-    """One delivery of a site.  ``folder`` is shared storage; see session.batch_folder."""
+    """One delivery of a site.  ``folder`` is shared storage; see session.batch_folder.
+
+    Results move by ``code_locations`` or, without those, by ``code_classes``.  Repairs
+    against a parent table that the delivery lacks are an error unless it is named in
+    ``absent_parents``; then they are left out.
+    """
 
     folder: str
     site: mapping.Site
@@ -56,6 +61,8 @@ class Batch:
     extra_fixes: Mapping[str, Sequence[chains.Step]] = field(default_factory=dict)
     lists: Mapping[str, DataFrame] = field(default_factory=dict)
     code_locations: DataFrame | None = None
+    code_classes: DataFrame | None = None
+    absent_parents: tuple[str, ...] = ()
     address_history: DataFrame | None = None
 
     def path(self, stage: str, table: str) -> str:
@@ -86,7 +93,7 @@ def run_batch(
     order = [t for t in chains.ORDER if t in mapped] + [t for t in mapped if t not in chains.ORDER]
     for table in order:
         steps = [*chains.CHAINS.get(table, ()), *batch.extra_fixes.get(table, ())]
-        usable = [s for s in steps if _parents_present(s, fixed)]
+        usable = [s for s in steps if _parent_present(s, table, fixed, batch.absent_parents)]
         good, results = chains.run_chain(mapped[table], usable, chains.Context(fixed, batch.lists))
         write_stage(good, batch.path("fixed", table))
         write_rejects(results, batch.path("fixed_rejects", table))
@@ -98,19 +105,27 @@ def _repair_across_tables(spark: SparkSession, batch: Batch, fixed: Mapping[str,
     """Repairs of several tables at once come last: results to where their code belongs, addresses to their history."""
     out = {}
     results = {t: fixed[t] for t in (route.LAB, route.CLIN, route.GEN) if t in fixed}
-    if batch.code_locations is not None and results:
+    by_flags = batch.code_locations is not None
+    if results and (by_flags or batch.code_classes is not None):
         path = batch.path("relocated", "results")
-        routed = route.route(results, batch.code_locations)
+        routed = route.route(results, batch.code_locations) if by_flags else route.move_by_class(results, batch.code_classes)
         # one write decides for all rows; each table then reads its own part
         routed.write.mode("overwrite").partitionBy(route.DESTINATION).parquet(path)
         placed = read_stage(spark, path)
-        out = {t: route.from_common(placed, t, df.columns) for t, df in results.items()}
+        arrived = [r[0] for r in placed.select(route.DESTINATION).distinct().collect()]  # three tables at most
+        columns = {t: results[t].columns if t in results else _columns_of(t) for t in {*results, *arrived}}
+        out = {t: route.from_common(placed, t, names, by_flags) for t, names in columns.items()}
     if batch.address_history is not None and ADDRESSES in fixed:
         write_stage(merge_history(batch.address_history, fixed[ADDRESSES]), batch.path("relocated", ADDRESSES))
         out[ADDRESSES] = read_stage(spark, batch.path("relocated", ADDRESSES))
     return out
 
 
+def _columns_of(table: str) -> list[str]:
+    """The columns of a table that the delivery lacks: the data model's, and the audit's."""
+    return [*pcornet.JOBS[table].columns, "UPDATED", "SOURCE"]
+
+
 def remap_patients(tables: Mapping[str, DataFrame], id_map: DataFrame, old: str, new: str) -> dict[str, DataFrame]:
     """Every table under another set of patient ids; tables without patients stay as they are."""
     return {t: remap_ids(df, id_map, "PATID", old, new) if "PATID" in df.columns else df for t, df in tables.items()}
@@ -124,20 +139,27 @@ PARENT_OF_FIX = {
 }
 
 
-def _parents_present(s: chains.Step, tables: Mapping[str, DataFrame]) -> bool:
-    return s.fix not in PARENT_OF_FIX or PARENT_OF_FIX[s.fix] in tables
+def _parent_present(s: chains.Step, table: str, tables: Mapping[str, DataFrame], absent: Sequence[str]) -> bool:
+    parent = PARENT_OF_FIX.get(s.fix)
+    if parent is None or parent in tables:
+        return True
+    if parent not in absent:
+        raise ValueError(f"{table} is repaired against {parent}, which is not in the batch")
+    return False
 
 
-def monthly_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _report(tables, lambda df: monthly_counts(df, ordered=False))
+def monthly_report(tables: Mapping[str, DataFrame], spec: DataFrame | None = None) -> DataFrame:
+    """Months of all date columns: those of the spec's types, or by name without a spec."""
+    dated = {t: date_columns(df, spec, t) for t, df in tables.items()}
+    return _report({t: df for t, df in tables.items() if dated[t]}, lambda t, df: monthly_counts(df, dated[t], ordered=False))
 
 
 def distinct_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _report({t: df for t, df in tables.items() if t not in NOT_PROFILED}, value_profile)
+    return _report({t: df for t, df in tables.items() if t not in NOT_PROFILED}, lambda _, df: value_profile(df))
 
 
-def _report(tables: Mapping[str, DataFrame], one: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    parts = [one(df).selectExpr(f"'{t}' AS table", "*") for t, df in tables.items()]
+def _report(tables: Mapping[str, DataFrame], one: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
+    parts = [one(t, df).selectExpr(f"'{t}' AS table", "*") for t, df in tables.items()]
     return union_all(parts)
 
 
