@@ -7,27 +7,36 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# a dictionary of so many entries becomes a literal map; one of so many is sent to all tasks.  Neither changes the result.
 LITERAL_ENTRIES = 64
+BROADCAST_ENTRIES = 100_000
+# Units that are compared without case all the same.
+CASE_BLIND_UNITS = (("DISPENSING", "DISPENSE_DOSE_DISP_UNIT"),)
 
 
 def dictionary(code_map: DataFrame, table: str, field: str, case_sensitive: bool = False) -> DataFrame:
-    """The entries of one field.  A checked dictionary has one row per key."""
-    entries = code_map.where((F.col("table") == table) & (F.col("field") == field))
-    return entries.select(_key(F.col("source_value"), case_sensitive).alias("__key"), F.col("target_value").alias("__target"))
+    """One row per key of one field; a missing key is none, and of several targets the last by order counts."""
+    entries = code_map.where((F.col("table") == table) & (F.col("field") == field) & F.col("source_value").isNotNull())
+    return entries.groupBy(_key(F.col("source_value"), case_sensitive).alias("__key")).agg(F.max("target_value").alias("__target"))
 
 
-def is_unit(field: Column) -> Column:
-    """Units are told apart by case; all other codes are not."""
-    return F.contains(field, F.lit("UNIT"))
+def is_unit(table: Column, field: Column) -> Column:
+    """Units are told apart by case, but for those listed; all other codes are not."""
+    listed = F.concat_ws(".", table, field).isin([".".join(k) for k in CASE_BLIND_UNITS])
+    return F.contains(field, F.lit("UNIT")) & ~listed
+
+
+def unit_name(table: str, field: str) -> bool:
+    return "UNIT" in field and (table, field) not in CASE_BLIND_UNITS
 
 
 def colliding_entries(code_map: DataFrame) -> DataFrame:
-    """Keys that occur more than once, which would multiply the rows they map."""
-    key = F.when(is_unit(F.col("field")), F.col("source_value")).otherwise(F.upper("source_value"))
+    """Keys that are missing or occur more than once."""
+    key = F.when(is_unit(F.col("table"), F.col("field")), F.col("source_value")).otherwise(F.upper("source_value"))
     return (
         code_map.groupBy("table", "field", key.alias("key"))
         .agg(F.count(F.lit(1)).alias("entries"))
-        .where("entries > 1")
+        .where("entries > 1 OR key IS NULL")
     )
 
 
@@ -35,7 +44,7 @@ def checked(code_map: DataFrame) -> DataFrame:
     """The dictionary itself, once it is known to hold every key once."""
     examples = colliding_entries(code_map).limit(5).collect()
     if examples:
-        raise ValueError(f"dictionary keys that occur more than once: {[tuple(r) for r in examples]}")
+        raise ValueError(f"dictionary keys that are missing or occur more than once: {[tuple(r) for r in examples]}")
     return code_map
 
 
@@ -51,36 +60,34 @@ def map_codes(
 
     ``fallback`` keeps a code without an entry, ``strict`` makes it NULL.  A field
     with few entries is mapped by a literal map inside the projection; one with many
-    by a hash join with its slice of the dictionary, since the lookup in a literal
-    map is a scan and its text swells the plan.
+    by a join with its slice of the dictionary, since the lookup in a literal map is a
+    scan and its text swells the plan.  The result is the same.
     """
     exact, fields = set(case_sensitive), list(fields)
-    few = small_dictionaries(code_map, table, fields) if fields else {}
+    sizes = dictionary_sizes(code_map, table, fields) if fields else {}
+    few = {f: {} for f in fields if sizes.get(f, 0) <= LITERAL_ENTRIES}
+    for f, entries in few.items():
+        if f in sizes:
+            entries.update((r["__key"], r["__target"]) for r in dictionary(code_map, table, f, f in exact).collect())
     mapped = {f: _by_literal(f, few[f], mode, f in exact) for f in fields if f in few}
     out = df.withColumns(mapped) if mapped else df
     for field in fields:
         if field not in few:
-            out = _by_join(out, dictionary(code_map, table, field, field in exact), field, mode, field in exact)
+            side = dictionary(code_map, table, field, field in exact)
+            side = F.broadcast(side) if sizes[field] <= BROADCAST_ENTRIES else side
+            out = _by_join(out, side, field, mode, field in exact)
     return out
 
 
-def small_dictionaries(code_map: DataFrame, table: str, fields: list[str]) -> dict[str, dict[str, str | None]]:
-    """The dictionaries of at most LITERAL_ENTRIES entries, a field without any included.
-
-    One count per field decides; only the entries of small dictionaries are fetched.
-    """
-    entries = code_map.where((F.col("table") == table) & F.col("field").isin(fields))
-    sizes = {r["field"]: r["count"] for r in entries.groupBy("field").count().collect()}
-    few: dict[str, dict] = {f: {} for f in fields if sizes.get(f, 0) <= LITERAL_ENTRIES}
-    for r in entries.where(F.col("field").isin([f for f in few if f in sizes])).collect():
-        few[r["field"]][r["source_value"]] = r["target_value"]
-    return few
+def dictionary_sizes(code_map: DataFrame, table: str, fields: list[str]) -> dict[str, int]:
+    entries = code_map.where((F.col("table") == table) & F.col("field").isin(fields) & F.col("source_value").isNotNull())
+    return {r["field"]: r["count"] for r in entries.groupBy("field").count().collect()}  # tens of fields
 
 
 def _by_literal(field: str, entries: dict[str, str | None], mode: str, case_sensitive: bool) -> Column:
     if not entries:
         return F.lit(None).cast("string") if mode == "strict" else F.col(field)
-    pairs = [F.lit(v) for s, t in entries.items() for v in (s if case_sensitive else s.upper(), t)]
+    pairs = [F.lit(v) for entry in entries.items() for v in entry]
     found = F.create_map(*pairs)[_key(F.col(field), case_sensitive)]
     return found if mode == "strict" else F.coalesce(found, field)
 

@@ -22,7 +22,7 @@ def coverage(df: DataFrame, code_map: DataFrame, table: str, fields: Sequence[st
     dictionary.  Units are compared with their case, all else without.
     """
     counts = value_profile(df, fields)
-    unit = is_unit(F.col("field"))
+    unit = is_unit(F.lit(table), F.col("field"))
     entries = code_map.where(F.col("table") == table).select(
         F.col("field").alias("__field"),
         F.when(unit, F.col("source_value")).otherwise(F.upper("source_value")).alias("__key"),
@@ -51,7 +51,7 @@ def suggest_codes(code_map: DataFrame, missing: DataFrame, table: str) -> DataFr
     present = code_map.where(F.col("table") == table).select("field", "source_value", "target_value")
     wanted = missing.select("field", F.col("value").alias("source_value"), F.lit("").alias("target_value"))
     both = present.unionByName(wanted)
-    line = dictionary_entry(F.col("source_value"), F.col("target_value"), is_unit(F.col("field")))
+    line = dictionary_entry(F.col("source_value"), F.col("target_value"), is_unit(F.lit(table), F.col("field")))
     return both.withColumn("entry", line)
 
 

@@ -9,6 +9,9 @@ from careloom.functions.dates import days_before
 from careloom.operators.result import Result
 
 
+MOST_PATTERNS = 1000
+
+
 def copy_when_null(df: DataFrame, field: str, other: str) -> Result:
     return Result(
         good=df.withColumn(field, F.coalesce(field, other)),
@@ -51,15 +54,20 @@ def remove_patterns(df: DataFrame, column: str, patterns: DataFrame) -> Result:
     """Drop rows whose text contains a listed text, whatever its case; rows without text stay.
 
     The list becomes one quoted regular expression inside Spark, so the table is
-    read once with a plain filter and nothing is compared pair by pair.
+    read once with a plain filter and nothing is compared pair by pair.  Every text of
+    the list is tried on every row: the list is meant to have tens of texts, and one of
+    more than ``MOST_PATTERNS`` is refused.
     """
+    if patterns.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} texts to remove")
     hit = F.coalesce(F.rlike(column, one_pattern(patterns)), F.lit(False))
     return Result(good=df.where(~hit), rejects=df.where(hit))
 
 
 def one_pattern(patterns: DataFrame) -> Column:
     text = F.col(patterns.columns[0])
-    quoted = F.concat(F.lit(r"\Q"), text, F.lit(r"\E"))
+    # a text that holds the closing mark of a quotation is quoted around it
+    quoted = F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     joined = F.array_join(F.sort_array(F.collect_set(quoted)), "|")
-    listed = patterns.where((text != "") & ~F.contains(text, F.lit(r"\E")))
+    listed = patterns.where(text != "")
     return listed.agg(F.concat(F.lit("(?iu)(?:"), F.nullif(joined, F.lit("")), F.lit(")")).alias("p")).scalar()

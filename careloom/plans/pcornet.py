@@ -7,11 +7,11 @@ column names whatever their case.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from careloom.operators.merge import union_all
 from careloom.plans.spec import BLANK, Const, Job, Value, override, run_job, same, use
-from careloom.sources.files import Layout, choose_layout, read_layout
+from careloom.sources.files import Layout, choose_layout, list_files, read_layout
 
 
 def _date(name: str):
@@ -76,6 +76,7 @@ OTHER_NAMES: dict[str, dict[str, str | None]] = {
 # Values that one layout, told by its separator, takes from elsewhere.
 OTHER_VALUES: dict[tuple[str, str], dict[str, Value]] = {
     ("ENCOUNTER", ";"): {"DISCHARGE_DISPOSITION": use("discharge_disposition", "DISCHARGE_DISPOSITION")},
+    ("PROCEDURES", "\t"): {"PX": "PX"},
 }
 
 JOBS: dict[str, Job] = {
@@ -287,17 +288,17 @@ def layouts(table: str) -> list[Layout]:
     return [Layout(sep, (k,), names) for sep in FILES[table][1] for k in keys]
 
 
-def read(spark: SparkSession, table: str, folder: str) -> tuple[DataFrame, Layout]:
-    """The files of a table in a folder, read with the layout that fits their header."""
-    last = None
-    for pattern in FILES[table][0]:
-        path = f"{folder}/{pattern}"
-        try:
-            layout = choose_layout(spark, path, layouts(table))
-            return read_layout(spark, path, layout), layout
-        except AnalysisException as missing:  # no file of that name; the next pattern may have one
-            last = missing
-    raise last
+def read(spark: SparkSession, table: str, folder: str) -> list[tuple[DataFrame, Layout]]:
+    """All files of a table in a folder, whichever of its patterns they match, by the layout that fits their header."""
+    declared, found = layouts(table), {}
+    for path in list_files(spark, [f"{folder}/{pattern}" for pattern in FILES[table][0]]):
+        found.setdefault(declared.index(choose_layout(spark, path, declared)), []).append(path)
+    return [(read_layout(spark, paths, declared[k]), declared[k]) for k, paths in sorted(found.items())]
+
+
+def read_and_run(spark: SparkSession, table: str, folder: str) -> DataFrame:
+    """The formatted table of all files in a folder."""
+    return union_all([run(table, df, layout.sep) for df, layout in read(spark, table, folder)])
 
 
 def run(table: str, df: DataFrame, sep: str = "~") -> DataFrame:

@@ -22,7 +22,10 @@ def tune(spark: SparkSession) -> SparkSession:
 def batch_folder(spark: SparkSession, name: str) -> str:
     """Where the stages of a batch are written: below the shared folder the cluster names.
 
-    Only a session without one, as in tests, gets a temporary folder.
+    Only a local session without one, as in tests, gets a temporary folder: on a cluster
+    every executor would write its part to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{named or tempfile.mkdtemp(prefix='careloom-')}/{name}"

@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 from careloom.operators import schema as sch
 from careloom.operators.merge import PRIMARY_KEYS, missing_tables, upsert_keep_new
 
-# Parallel writers per table, and the table never merged.
-UPLOAD_PARTITIONS = 10
+# Fixed value: the table never merged.
 NEVER_MERGED = ("HARVEST",)
 
 
@@ -26,7 +25,7 @@ class Target:
     fmt: str | None = None
     options: dict[str, str] = field(default_factory=dict)
     prefix: str = ""
-    partitions: int = UPLOAD_PARTITIONS
+    partitions: int | None = None
 
     def name(self, batch: str, table: str) -> str:
         return f"{self.prefix}{batch}_{table}" if batch else f"{self.prefix}{table}"
@@ -40,13 +39,18 @@ def save(df: DataFrame, target: Target, name: str, mode: str = "overwrite", **ex
         writer.format(target.fmt).options(**target.options, **extra).option("dbtable", name).save()
 
 
+def _dealt(df: DataFrame, target: Target) -> DataFrame:
+    """As the plan has it, unless the target names a number of writers."""
+    return df.repartition(target.partitions) if target.partitions else df
+
+
 def prepare(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """Typed by the spec, with widths as observed in the table."""
     return sch.apply_schema(df, sch.table_schema(fields, sch.observed_widths(df)))
 
 
 def replace_table(df: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]]) -> None:
-    save(prepare(df, fields).repartition(target.partitions), target, target.name(batch, table))
+    save(_dealt(prepare(df, fields), target), target, target.name(batch, table))
 
 
 def merge_table(
@@ -54,7 +58,7 @@ def merge_table(
 ) -> None:
     """Load the batch together with the rows the warehouse has and the batch does not."""
     merged = df if table in NEVER_MERGED else upsert_keep_new(existing, df, PRIMARY_KEYS[table])
-    save(prepare(merged, fields).repartition(target.partitions), target, target.name(f"{batch}_merged", table))
+    save(_dealt(prepare(merged, fields), target), target, target.name(f"{batch}_merged", table))
 
 
 def all_text(df: DataFrame) -> DataFrame:

@@ -59,6 +59,18 @@ def choose_layout(spark: SparkSession, path: str | Sequence[str], layouts: Seque
     raise ValueError(f"no declared layout fits {path}: {tried}")
 
 
+def list_files(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """The files that match any of the patterns, each once, in the file system that the paths name."""
+    conf, found = spark.sparkContext._jsc.hadoopConfiguration(), {}
+    for pattern in patterns:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        for status in path.getFileSystem(conf).globStatus(path) or []:
+            found[status.getPath().toString()] = None
+    if not found:
+        raise FileNotFoundError(f"no file matches {list(patterns)}")
+    return sorted(found)
+
+
 def read_layout(spark: SparkSession, path: str | Sequence[str], layout: Layout) -> DataFrame:
     df = read_delimited(spark, path, layout.sep)
     names = {c.lower() for c in df.columns}

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careloom.operators.codes import checked
+from careloom.operators.codes import checked, unit_name
 
 SPEC_COLUMNS = ("TABLE_NAME", "FIELD_NAME", "RDBMS_DATA_TYPE")
 CODE_MAP_SCHEMA = "table STRING, field STRING, source_value STRING, target_value STRING"
@@ -43,7 +43,9 @@ def concepts(concept: DataFrame, role: str, where: str, take: Mapping[str, str])
 def code_map(spark: SparkSession, dictionaries: Mapping[tuple[str, str], Mapping[str, str | None]]) -> DataFrame:
     """Dictionaries ``{(table, field): {source: target}}`` as one checked table."""
     rows = [(t, f, s, v) for (t, f), entries in dictionaries.items() for s, v in entries.items()]
-    keys = [(t, f, s if "UNIT" in f else s.upper()) for t, f, s, _ in rows]
+    if any(s is None for _, _, s, _ in rows):
+        raise ValueError("dictionary keys that are missing")
+    keys = [(t, f, s if unit_name(t, f) else s.upper()) for t, f, s, _ in rows]
     if len(set(keys)) < len(keys):
         raise ValueError(f"dictionary keys that occur more than once: {sorted({k for k in keys if keys.count(k) > 1})}")
     return spark.createDataFrame(rows, CODE_MAP_SCHEMA)
