@@ -9,8 +9,12 @@ from careloom.plans.mapping import MapJob
 from careloom.plans.spec import Const, Job, Lookup, Use, Value
 
 NUMERIC = r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
-DATES = "['%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%m/%d/%Y', '%Y%m%d']"
-TIMES = "['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y %H:%M', '%m/%d/%Y', '%H:%M:%S', '%H:%M']"
+_DAYS = (
+    "'%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%m/%d/%y', '%m/%d/%Y', '%m/%d/%Y %H:%M', '%m/%d/%Y %H:%M:%S', '%m/%d/%Y %I:%M %p', '%m/%d/%Y %I:%M:%S %p', "
+    "'%Y%m%d', '%Y%m%d %H%M%S', '%Y/%m/%d', '%m-%d-%Y', '%d %b %Y', '%d-%b-%Y', '%d%b%Y', '%b %d, %Y'"
+)
+DATES = f"[{_DAYS}]"
+TIMES = f"[{_DAYS}, '%H:%M:%S', '%H:%M']"
 STRICT = "'%Y-%m-%d %H:%M:%S'"
 
 
@@ -88,6 +92,12 @@ FUNCTIONS = {
 }
 
 
+def keyed(key: str, site: str, c: str, salt: str = "") -> str:
+    """The digest of key, site and salt, each after its length in eight bytes, before the id."""
+    parts = " || ".join(f"unhex('{len(p.encode()):016x}') || encode('{p}')" for p in (key, site, salt))
+    return f"sha256(sha256({parts}) || {c})"
+
+
 def value_sql(value: Value) -> str:
     if isinstance(value, Const):
         return f"'{value.value}'"
@@ -129,8 +139,7 @@ def map_sql(table: str, job: MapJob, columns: list[str], view: str, dictionary,
     out = []
     for c in columns:
         if c in job.ids:
-            salt = f" || '{table}'" if c == job.salted else ""
-            out.append(f"sha256('{site.key}{site.code}' || {c}{salt}) AS {c}")
+            out.append(f"{keyed(site.key, site.code, c, table if c == job.salted else '')} AS {c}")
         elif c in job.codes + job.exact_codes + job.strict_codes:
             key = c if c in job.exact_codes else f"upper({c})"
             stored = "source_value" if c in job.exact_codes else "upper(source_value)"

@@ -84,6 +84,9 @@ def _profile_sql(table: str, columns: list[str]) -> str:
 
 
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+# identifiers are not profiled
+EVENT_COLUMNS = ["ts", "event_type", "value", "props"]
 ORDER_CODES = ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
@@ -103,13 +106,11 @@ def _(t: Inputs):
 @query(
     "distinct_values_report",
     f"SELECT 'PART' AS \"table\", * FROM ({_profile_sql('part', PART_COLUMNS)}) UNION ALL "
-    f"SELECT 'ORDERS', * FROM ({_profile_sql('orders', ORDER_CODES)}) UNION ALL "
-    f"SELECT 'EVENTS', * FROM ({_profile_sql('events', ['event_type', 'props'])})",
+    f"SELECT 'ORDERS', * FROM ({_profile_sql('orders', ORDER_COLUMNS)}) UNION ALL "
+    f"SELECT 'EVENTS', * FROM ({_profile_sql('events', EVENT_COLUMNS)})",
 )
 def _(t: Inputs):
-    return batch.distinct_report(
-        {"PART": t.part, "ORDERS": t.orders.select(*ORDER_CODES), "EVENTS": t.events.select("event_type", "props")}
-    )
+    return batch.distinct_report({"PART": t.part, "ORDERS": t.orders, "EVENTS": t.events})
 
 
 def _month_sql(table: str, column: str) -> str:
@@ -143,11 +144,11 @@ def _(t: Inputs):
 @query(
     "width_profile",
     "SELECT field, width FROM (UNPIVOT (SELECT max(length(CAST(c_custkey AS VARCHAR))) AS c_custkey, max(length(c_name)) AS c_name, "
-    "max(length(CAST(c_nationkey AS VARCHAR))) AS c_nationkey, max(length(c_mktsegment)) AS c_mktsegment FROM customer) "
-    "ON c_custkey, c_name, c_nationkey, c_mktsegment INTO NAME field VALUE width)",
+    "max(length(CAST(c_nationkey AS VARCHAR))) AS c_nationkey, max(length(c_mktsegment)) AS c_mktsegment, "
+    "max(length(CAST(c_acctbal AS VARCHAR))) AS c_acctbal FROM customer) ON c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal INTO NAME field VALUE width)",
 )
 def _(t: Inputs):
-    return profile.width_profile(t.customer.drop("c_acctbal")).withColumn("width", F.col("width").cast("bigint"))
+    return profile.width_profile(t.customer).withColumn("width", F.col("width").cast("bigint"))
 
 
 @query("row_count", "SELECT count(*) AS count FROM lineitem")
@@ -220,6 +221,29 @@ def _(t: Inputs):
     return codes.map_codes(t.view(CODED_LINES), _dictionary(t), "LINES", ["BRAND"], "strict")
 
 
+# a dictionary with an entry for nearly every part
+NAMES = """SELECT 'LINES' AS "table", 'PIECE' AS field, CASE WHEN p_size > 25 THEN upper(p_name || p_partkey) ELSE lower(p_name || p_partkey) END AS source_value,
+    'N' || p_size AS target_value FROM {part} WHERE p_size <> 7"""
+NAMED_LINES = "SELECT l_orderkey, l_linenumber, p_name || l_partkey AS PIECE FROM {lineitem} LEFT JOIN {part} ON l_partkey = p_partkey"
+_NAMED = NAMED_LINES.replace("{", "").replace("}", "")
+_NAME_OF = "(SELECT 'N' || p_size FROM part WHERE upper(p_name || p_partkey) = upper(PIECE) AND p_size <> 7)"
+
+
+def _large_map(t: Inputs, mode: str):
+    entries = codes.checked(t.view(NAMES.replace('"table"', "`table`")))
+    return codes.map_codes(t.view(NAMED_LINES), entries, "LINES", ["PIECE"], mode)
+
+
+@query("code_map_large", f"SELECT l_orderkey, l_linenumber, coalesce({_NAME_OF}, PIECE) AS PIECE FROM ({_NAMED})")
+def _(t: Inputs):
+    return _large_map(t, "fallback")
+
+
+@query("code_map_large_strict", f"SELECT l_orderkey, l_linenumber, {_NAME_OF} AS PIECE FROM ({_NAMED})")
+def _(t: Inputs):
+    return _large_map(t, "strict")
+
+
 COVERED = (
     f"SELECT field, value, target, count, percent FROM (SELECT field, value, (SELECT max(target_value) FROM ({DICTIONARY_DUCK}) d "
     "WHERE d.\"table\" = 'LINES' AND d.field = p.field AND CASE WHEN d.field = 'TYPE_UNIT' THEN d.source_value = p.value "
@@ -475,13 +499,14 @@ def _(t: Inputs):
     return _listed(t).rejects
 
 
-PATTERNS = ("license", "@", "(", "ENEUX", "[", "the and", "http")
+PATTERNS = ("license", "@", "(", "ENEUX", "[", "the and", "http", r"t\E the", r"\Q")
 HIT = "(" + " OR ".join(f"contains(lower(text), lower('{p}'))" for p in PATTERNS) + ")"
-TEXTS = "SELECT doc_id, lang, nullif(text, '') AS text FROM documents"
+TEXTS = r"SELECT doc_id, lang, nullif(CASE WHEN doc_id % 7 = 0 THEN replace(text, 't the', 't\E the') ELSE text END, '') AS text FROM documents"
 
 
 def _patterned(t: Inputs):
-    docs = t.documents.select("doc_id", "lang", F.nullif(F.col("text"), F.lit("")).alias("text"))
+    marked = F.when(F.col("doc_id") % 7 == 0, F.replace("text", F.lit("t the"), F.lit(r"t\E the"))).otherwise(F.col("text"))
+    docs = t.documents.select("doc_id", "lang", F.nullif(marked, F.lit("")).alias("text"))
     return repairs.remove_patterns(docs, "text", t.spark.createDataFrame([(p,) for p in PATTERNS], "pattern STRING"))
 
 
@@ -532,9 +557,11 @@ TOGETHER = (
     f"FROM ({RESULT_TABLES[route.CLIN]}) UNION ALL SELECT OBSGENID, OBSGEN_CODE, OBSGEN_SOURCE, NULL, OBSGEN_RESULT_QUAL, "
     f"RAW_OBSGEN_NAME, OBSGEN_TYPE, 'OBS_GEN' FROM ({RESULT_TABLES[route.GEN]})"
 ).replace("{lineitem}", "lineitem")
+# by flags, the code type of the lab table is that of the others
+TYPED = f"SELECT * EXCLUDE (LAB_PX_TYPE) REPLACE (coalesce(TYPE, LAB_PX_TYPE) AS TYPE) FROM ({TOGETHER})"
 BY_FLAGS = (
     f"SELECT r.*, CASE WHEN found_in_lab = '1' THEN 'LAB_RESULT_CM' WHEN found_in_obs_clin = '1' THEN 'OBS_CLIN' "
-    f"WHEN found_in_obs_gen = '1' THEN 'OBS_GEN' ELSE home END AS dest, loinc_num FROM ({TOGETHER}) r "
+    f"WHEN found_in_obs_gen = '1' THEN 'OBS_GEN' ELSE home END AS dest, loinc_num FROM ({TYPED}) r "
     f"LEFT JOIN ({FLAGS.replace('{part}', 'part')}) ON CODE = loinc_num"
 )
 BY_CLASS = (
@@ -558,7 +585,7 @@ def _named(df):
 
 @query(
     "route_by_flags",
-    f"SELECT ID, CODE, {RECODED} AS RESULT_SOURCE, LAB_PX_TYPE, RESULT_QUAL, RAW_NAME, TYPE, home, dest FROM ({BY_FLAGS})",
+    f"SELECT ID, CODE, {RECODED} AS RESULT_SOURCE, RESULT_QUAL, RAW_NAME, TYPE, home, dest FROM ({BY_FLAGS})",
 )
 def _(t: Inputs):
     return _named(route.route(_tables(t), t.view(FLAGS)))
@@ -568,7 +595,7 @@ def _(t: Inputs):
     "route_by_flags_copies",
     f"SELECT * EXCLUDE (loinc_num) REPLACE ({RECODED} AS RESULT_SOURCE) FROM (SELECT r.*, unnest(list_filter([CASE WHEN found_in_lab = '1' "
     "THEN 'LAB_RESULT_CM' END, CASE WHEN found_in_obs_clin = '1' THEN 'OBS_CLIN' END, CASE WHEN found_in_obs_clin = '0' AND found_in_obs_gen = '1' "
-    f"THEN 'OBS_GEN' END, CASE WHEN loinc_num IS NULL THEN home END], lambda x: x IS NOT NULL)) AS dest, loinc_num FROM ({TOGETHER}) r "
+    f"THEN 'OBS_GEN' END, CASE WHEN loinc_num IS NULL THEN home END], lambda x: x IS NOT NULL)) AS dest, loinc_num FROM ({TYPED}) r "
     f"LEFT JOIN ({FLAGS.replace('{part}', 'part')}) ON CODE = loinc_num)",
 )
 def _(t: Inputs):
@@ -585,6 +612,16 @@ def _(t: Inputs):
     return route.from_common(route.route(tables, t.view(FLAGS)), route.CLIN, tables[route.CLIN].columns)
 
 
+@query(
+    "route_by_flags_lab",
+    f"SELECT ID AS LAB_RESULT_CM_ID, CODE AS LAB_LOINC, {RECODED} AS LAB_RESULT_SOURCE, TYPE AS LAB_PX_TYPE, RESULT_QUAL, RAW_NAME AS RAW_LAB_NAME "
+    f"FROM ({BY_FLAGS}) WHERE dest = 'LAB_RESULT_CM'",
+)
+def _(t: Inputs):
+    tables = _tables(t)
+    return route.from_common(route.route(tables, t.view(FLAGS)), route.LAB, tables[route.LAB].columns)
+
+
 MOVED_OUT = "home = 'LAB_RESULT_CM' AND dest <> home"
 
 
@@ -616,9 +653,10 @@ ADDRESSES = (
     "ELSE o_orderpriority END AS ADDRESS_ZIP5, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END "
     "AS ADDRESS_PERIOD_START, CAST(NULL AS STRING) AS ADDRESS_PERIOD_END FROM {orders} WHERE "
 )
-# the two overlap in time, and each has patients of its own
-EXISTING = ADDRESSES + "o_orderstatus = 'F' AND o_custkey % 10 <> 0"
-INCOMING = ADDRESSES + "o_orderstatus = 'P' AND o_custkey % 10 <> 1"
+# the two overlap in time, each has patients of its own, and together they are all orders
+HELD = "(o_orderstatus = 'F' OR o_custkey % 10 = 1 OR o_orderkey % 2 = 0) AND o_custkey % 10 <> 0"
+EXISTING = ADDRESSES + HELD
+INCOMING = ADDRESSES + f"NOT ({HELD})"
 _E, _N = EXISTING.replace("{orders}", "orders"), INCOMING.replace("{orders}", "orders")
 _CLOSED_START = (
     "(SELECT min(n.ADDRESS_PERIOD_START) FROM n WHERE n.PATID = e.PATID AND (n.ADDRESS_ZIP5 <> e.ADDRESS_ZIP5 OR e.ADDRESS_ZIP5 IS NULL))"
@@ -630,7 +668,7 @@ def _later(a: str, b: str) -> str:
     return f"CASE WHEN {a} < {b} THEN {b} ELSE {a} END"
 
 
-def _history_sql(fresh: str) -> str:
+def _parity_sql(fresh: str) -> str:
     first = f"(SELECT min(n.ADDRESS_PERIOD_START) FROM n WHERE {_SAME})"
     last = f"(SELECT max(n.ADDRESS_PERIOD_START) FROM n WHERE {_SAME})"
     start = "ADDRESS_PERIOD_START"
@@ -643,25 +681,45 @@ def _history_sql(fresh: str) -> str:
     )
 
 
-@query("history_merge", _history_sql("e.PATID = n.PATID AND e.ADDRESS_ZIP5 = n.ADDRESS_ZIP5"))
+def _history_sql(fresh: str) -> str:
+    """The rule: every existing row once; a missing zip equals a missing zip."""
+    return f"""WITH e AS ({_E}), n AS ({_N}),
+    same AS (SELECT PATID, ADDRESS_ZIP5, min(ADDRESS_PERIOD_START) AS first, max(ADDRESS_PERIOD_START) AS last FROM n GROUP BY ALL),
+    beside AS (SELECT e.*, s.PATID IS NOT NULL AS again, first, last, (SELECT min(n.ADDRESS_PERIOD_START) FROM n WHERE n.PATID = e.PATID
+        AND (e.ADDRESS_PERIOD_START IS NULL OR n.ADDRESS_PERIOD_START > e.ADDRESS_PERIOD_START)) AS following
+        FROM e LEFT JOIN same s ON s.PATID = e.PATID AND s.ADDRESS_ZIP5 IS NOT DISTINCT FROM e.ADDRESS_ZIP5)
+    SELECT ADDRESSID, PATID, ADDRESS_ZIP5, CASE WHEN again THEN least(ADDRESS_PERIOD_START, first) ELSE ADDRESS_PERIOD_START END AS ADDRESS_PERIOD_START,
+        CASE WHEN again THEN greatest(ADDRESS_PERIOD_START, last) ELSE coalesce(following, ADDRESS_PERIOD_END) END AS ADDRESS_PERIOD_END FROM beside
+    UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM e WHERE {fresh})"""
+
+
+_KNOWN = "e.PATID IS NOT DISTINCT FROM n.PATID"
+
+
+@query("history_merge", _history_sql(f"{_KNOWN} AND e.ADDRESS_ZIP5 IS NOT DISTINCT FROM n.ADDRESS_ZIP5"))
 def _(t: Inputs):
     return history.merge_history(t.view(EXISTING), t.view(INCOMING))
 
 
-@query("history_merge_known_entities", _history_sql("e.PATID = n.PATID"))
+@query("history_merge_known_entities", _history_sql(_KNOWN))
 def _(t: Inputs):
     return history.merge_history(t.view(EXISTING), t.view(INCOMING), add_new=False)
 
 
+@query("history_merge_parity", _parity_sql("e.PATID = n.PATID AND e.ADDRESS_ZIP5 = n.ADDRESS_ZIP5"))
+def _(t: Inputs):
+    return history.merge_history(t.view(EXISTING), t.view(INCOMING), parity=True)
+
+
 @query(
     "later_and_earlier",
     f"SELECT ADDRESSID, {_later('a', 'b')} AS later, CASE WHEN b <= a THEN b ELSE a END AS earlier FROM (SELECT ADDRESSID, "
-    f"ADDRESS_PERIOD_START AS a, CASE WHEN ADDRESS_ZIP5 LIKE '1%' THEN NULL ELSE '1998-06-15' END AS b FROM ({_E}))",
+    f"ADDRESS_PERIOD_START AS a, CASE WHEN ADDRESS_ZIP5 LIKE '1%' THEN NULL ELSE '1998-06-15' END AS b FROM ({ADDRESSES.replace('{orders}', 'orders')} true))",
 )
 def _(t: Inputs):
     b = F.when(~F.coalesce(F.col("ADDRESS_ZIP5").startswith("1"), F.lit(False)), "1998-06-15")
     a = F.col("ADDRESS_PERIOD_START")
-    return t.view(EXISTING).select("ADDRESSID", dates.later_of(a, b).alias("later"), dates.earlier_of(a, b).alias("earlier"))
+    return t.view(ADDRESSES + "true").select("ADDRESSID", dates.later_of(a, b).alias("later"), dates.earlier_of(a, b).alias("earlier"))
 
 
 OLD = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'"
@@ -973,7 +1031,37 @@ for _name, _spec in BY_FUNCTION.items():
 def _(t: Inputs):
     n = F.floor("value").cast("string")
     raw = F.when(F.col("event_type") == "click", n).when(F.col("event_type") == "view", F.concat(n, F.lit(".50"))).otherwise("none")
-    return t.events.where("value IS NOT NULL").select("event_id", numbers.whole_or_decimal(raw).alias("refills"))
+    return t.events.select("event_id", numbers.whole_or_decimal(raw).alias("refills"))
+
+
+_D, _T = "CAST(CAST(ts AS DATE) AS STRING)", "substr(CAST(ts AS STRING), 12, 8)"
+_Y, _M, _DD = f"substr({_D}, 1, 4)", f"substr({_D}, 6, 2)", f"substr({_D}, 9, 2)"
+_MON = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST({_M} AS INT) * 3 - 2, 3)"
+WRITTEN = [
+    _D, f"{_D} || ' ' || {_T}", f"{_M} || '/' || {_DD} || '/' || {_Y}", f"{_M} || '/' || {_DD} || '/' || {_Y} || ' ' || substr({_T}, 1, 5)",
+    f"{_M} || '/' || {_DD} || '/' || {_Y} || ' ' || {_T}", f"{_M} || '/' || {_DD} || '/' || {_Y} || ' 12:00:00 AM'", f"{_M} || '/' || {_DD} || '/' || {_Y} || ' 3:05 pm'",
+    f"{_Y} || {_M} || {_DD}", f"{_Y} || {_M} || {_DD} || ' 103000'", f"{_Y} || '/' || {_M} || '/' || {_DD}", f"{_M} || '-' || {_DD} || '-' || {_Y}",
+    f"{_M} || '/' || {_DD} || '/' || substr({_Y}, 3, 2)", f"{_M} || '/' || {_DD} || '/71'", f"{_DD} || ' ' || {_MON} || ' ' || {_Y}", f"{_DD} || '-' || {_MON} || '-' || {_Y}",
+    f"{_DD} || upper({_MON}) || {_Y}", f"{_MON} || ' ' || {_DD} || ', ' || {_Y}", "'bad'", "'31/31/2020'", "'  '", "NULL",
+]
+LAYOUTS = f"SELECT event_id, CASE event_id % {len(WRITTEN)} {' '.join(f'WHEN {k} THEN {w}' for k, w in enumerate(WRITTEN))} END AS c FROM {{events}}"
+
+
+@query(
+    "date_layouts",
+    f"SELECT event_id, {job_sql.FUNCTIONS['format_date']('c')} AS day, {job_sql.FUNCTIONS['format_time']('c')} AS clock FROM ({_duck(LAYOUTS)})",
+)
+def _(t: Inputs):
+    c = F.col("c")
+    return t.view(LAYOUTS).select("event_id", dates.format_date(c).alias("day"), dates.format_time(c).alias("clock"))
+
+
+@query(
+    "unreadable_dates",
+    f"SELECT 'c' AS field, count(*) AS unreadable FROM ({_duck(LAYOUTS)}) WHERE trim(c) <> '' AND {job_sql.FUNCTIONS['format_date']('c')} IS NULL",
+)
+def _(t: Inputs):
+    return profile.unreadable_dates(t.view(LAYOUTS), ["c"])
 
 
 @query("month_bucket", "SELECT event_id, strftime(try_strptime(c, ['%Y-%m-%d', '%m/%d/%Y', '%Y-%m-%d %H:%M:%S']), '%Y-%m') AS month FROM (" + _duck(STAMPS) + ")")
@@ -1044,12 +1132,21 @@ def _(t: Inputs):
 # --- pseudonyms --------------------------------------------------------------------
 
 
-@query("pseudonymise_keyed", "SELECT c_custkey, sha256('keyABC' || c_name) AS id, sha256('keyABC' || c_name || 'OBS_GEN') AS salted FROM customer")
+def _keyed(site: str, c: str, salt: str = "") -> str:
+    return job_sql.keyed("key", site, c, salt)
+
+
+@query(
+    "pseudonymise_keyed",
+    f"SELECT c_custkey, {_keyed('A', 'c_name')} AS short_site, {_keyed('ABC', 'c_name')} AS id, {_keyed('ABC', 'c_name', 'OBS_GEN')} AS salted, "
+    f"{_keyed('A', 'concat(chr(66), chr(67), c_name)')} AS run_on FROM customer",
+)
 def _(t: Inputs):
     c = F.col("c_name")
     return t.customer.select(
-        "c_custkey", ids.pseudonym(c, "ABC", "key").alias("id"), ids.pseudonym(c, "ABC", "key", salt="OBS_GEN").alias("salted")
-    )
+        "c_custkey", ids.pseudonym(c, "A", "key").alias("short_site"), ids.pseudonym(c, "ABC", "key").alias("id"),
+        ids.pseudonym(c, "ABC", "key", salt="OBS_GEN").alias("salted"), ids.pseudonym(F.concat(F.lit("BC"), c), "A", "key").alias("run_on"),
+    )
 
 
 _PAD = "[" + ", ".join(str(b) for b in __import__("hashlib").sha1(b"seed").digest()) + "]"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks import job_sql, views
 from checks.registry import Inputs, Views, query
 from careloom.plans import chains, flat, mapping, omop, pcornet
-from careloom.plans.spec import Job, columns_used, run_job
+from careloom.plans.spec import Job, columns_used, run_job, override
 from careloom.sources.reference import code_map
 
 SITE = mapping.Site(code="ABC", key="test-key", updated="2024-01-01 00:00:00")
@@ -65,14 +65,14 @@ def _vital_sql() -> str:
 VITAL_SQL = views.for_duckdb(_vital_sql())
 
 
-def _pcornet(table: str) -> None:
-    job: Job = pcornet.JOBS[table]
+def _pcornet(table: str, sep: str = "~", called: str = "") -> None:
+    job: Job = override(pcornet.JOBS[table], **pcornet.OTHER_VALUES.get((table, sep), {}))
     columns = list(dict.fromkeys(c.upper() for c in columns_used(job)))
     view = views.shaped(columns, dirty=True)
 
-    @query(f"fmt_pcornet_{table.lower()}", views.for_duckdb(job_sql.job_sql(job, {job.source: view})))
+    @query(f"fmt_pcornet_{table.lower()}{called}", views.for_duckdb(job_sql.job_sql(job, {job.source: view})))
     def run(t: Inputs):
-        return pcornet.run(table, t.view(view))
+        return pcornet.run(table, t.view(view), sep)
 
 
 # --- mapping -----------------------------------------------------------------------
@@ -144,6 +144,8 @@ for _table in omop.TABLES:
     _omop(_table)
 for _table in pcornet.JOBS:
     _pcornet(_table)
+_pcornet("PROCEDURES", "\t", "_tab")
+_pcornet("ENCOUNTER", ";", "_semicolon")
 for _table in mapping.JOBS:
     _map(_table)
 for _table in chains.CHAINS:

@@ -93,15 +93,26 @@ def test_results_and_addresses_are_placed_last(spark, tmp_path):
     flags = flags.selectExpr("loinc_num", "'0' AS found_in_lab", "'1' AS found_in_obs_clin", "'0' AS found_in_obs_gen")
     site = mapping.Site("ABC", "key", updated="2024-01-01 00:00:00")
     codes = code_map(spark, {("LAB_RESULT_CM", "PRIORITY"): {"R": "RT"}})
-    plain = batch.run_batch(spark, batch.Batch(str(tmp_path / "a"), site, codes), formatted)
+    absent = ("DEMOGRAPHIC", "ENCOUNTER", "PROVIDER")
+    with pytest.raises(ValueError, match="DEMOGRAPHIC"):
+        batch.run_batch(spark, batch.Batch(str(tmp_path / "x"), site, codes), formatted)
+    plain = batch.run_batch(spark, batch.Batch(str(tmp_path / "a"), site, codes, absent_parents=absent), formatted)
     history = plain["LDS_ADDRESS_HISTORY"].where("ADDRESS_STATE = 'FL'")
-    job = batch.Batch(str(tmp_path / "b"), site, codes, code_locations=flags, address_history=history)
+    job = batch.Batch(str(tmp_path / "b"), site, codes, code_locations=flags, address_history=history, absent_parents=absent)
     placed = batch.run_batch(spark, job, formatted)
     moved = plain["LAB_RESULT_CM"].where("LAB_LOINC LIKE '1%'").count()
     assert moved > 0 and placed["LAB_RESULT_CM"].where("LAB_LOINC LIKE '1%'").count() == 0
     assert placed["OBS_CLIN"].count() == plain["OBS_CLIN"].count() + moved
     assert placed["OBS_CLIN"].columns == plain["OBS_CLIN"].columns
-    assert placed["LDS_ADDRESS_HISTORY"].where("ADDRESS_PERIOD_END IS NOT NULL").count() > 0
+    assert placed["LDS_ADDRESS_HISTORY"].count() == plain["LDS_ADDRESS_HISTORY"].count()
+    # results that belong in a table the delivery lacks make that table
+    alone = {"LAB_RESULT_CM": lab}
+    job = batch.Batch(str(tmp_path / "c"), site, codes, code_locations=flags, absent_parents=absent)
+    placed = batch.run_batch(spark, job, alone)
+    assert placed["OBS_CLIN"].count() == moved and placed["OBS_CLIN"].count() + placed["LAB_RESULT_CM"].count() == plain["LAB_RESULT_CM"].count()
+    classes = flags.selectExpr("loinc_num", "'2' AS classtype")
+    job = batch.Batch(str(tmp_path / "d"), site, codes, code_classes=classes, absent_parents=absent)
+    assert batch.run_batch(spark, job, alone)["OBS_CLIN"].count() == moved
 
 
 def test_patients_under_other_ids(spark):

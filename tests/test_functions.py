@@ -23,12 +23,15 @@ CASES = [
         {
             "2020-02-29": "2020-02-29", "2021-02-29": None, "02/03/2020": "2020-02-03", "2/3/2020": "2020-02-03",
             "2020-01-05 23:59:59": "2020-01-05", "20200105": "2020-01-05", "": None, "bad": None, None: None, " 2020-01-05 ": "2020-01-05",
-            "2020": None, "13/13/2020": None,
+            "2020": None, "13/13/2020": None, "1/5/2024 10:30": "2024-01-05", "1/5/2024 10:30:15": "2024-01-05", "1/5/2024 12:00:00 AM": "2024-01-05",
+            "1/5/2024 3:05 pm": "2024-01-05", "1/5/2024 13:00 PM": None, "2024/01/05": "2024-01-05", "01-05-2024": "2024-01-05", "5 Jan 2024": "2024-01-05",
+            "05JAN2024": "2024-01-05", "5-jan-2024": "2024-01-05", "Jan 5, 2024": "2024-01-05", "31 Feb 2024": None, "5 Abc 2024": None,
+            "20240105 103000": "2024-01-05", "20240105103000": "2024-01-05", "1/5/24": "2024-01-05", "1/5/68": "2068-01-05", "1/5/69": "1969-01-05",
         },
     ),
     (
         dates.format_time,
-        {"2020-01-05 23:59:59": "23:59", "2020-01-05": "00:00", "10:30": "10:30", "9:05:00": "09:05", "25:00": None, "": None, None: None},
+        {"2020-01-05 23:59:59": "23:59", "2020-01-05": "00:00", "10:30": "10:30", "9:05:00": "09:05", "25:00": None, "1/5/2024 3:05 PM": "15:05", "1/5/2024 12:00:00 AM": "00:00", "20240105 103000": "10:30", "": None, None: None},
     ),
     (dates.time_of_datetime, {"2020-01-05 23:59:59": "23:59", "2020-01-05": None, "bad": None, None: None}),
     (dates.date_of_datetime, {"2020-01-05 23:59:59": "2020-01-05", "01/05/2020": None}),
@@ -129,7 +132,11 @@ class TestPseudonyms:
 
     def test_keyed_is_a_digest_and_salt_separates(self, spark):
         got = apply(spark, lambda c: ids.pseudonym(c, "ABC", "key"), ["1", None])
-        assert got == [hashlib.sha256(b"keyABC1").hexdigest(), None]
+        sized = b"".join(len(p).to_bytes(8, "big") + p for p in (b"key", b"ABC", b""))
+        assert got == [hashlib.sha256((hashlib.sha256(sized).hexdigest() + "1").encode()).hexdigest(), None]
+        assert apply(spark, lambda c: ids.pseudonym(c, "A", "key"), ["X1"]) != apply(spark, lambda c: ids.pseudonym(c, "AX", "key"), ["1"])
+        hidden = spark.range(1).select(ids.pseudonym(F.col("id"), "ABC", "secret key"))
+        assert "secret key" not in hidden._jdf.queryExecution().toString()
         assert apply(spark, lambda c: ids.pseudonym(c, "ABC", "key", salt="OBS"), ["1"]) != got[:1]
 
     def test_site_is_required(self):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from careloom.operators import codes, coverage, dedup, history, lookup, merge, orphans, profile, project, repairs, route, schema
 from careloom.operators.collapse import collapse_first
+from careloom.plans import mapping
 from careloom.sources import reference
 from tests.conftest import rows
 
@@ -79,11 +80,11 @@ class TestOrphans:
 
 class TestRepairs:
     def test_patterns_are_plain_text(self, spark):
-        df = spark.createDataFrame([("see client/phone # 5",), ("a[b",), ("fine",), (None,), ("x.y",)], "t STRING")
-        patterns = spark.createDataFrame([("CLIENT/PHONE #",), ("[",), ("x?y",)], "p STRING")
+        df = spark.createDataFrame([("see client/phone # 5",), ("a[b",), ("fine",), (None,), ("x.y",), ("a Q\\e b",)], "t STRING")
+        patterns = spark.createDataFrame([("CLIENT/PHONE #",), ("[",), ("x?y",), ("q\\E",)], "p STRING")
         r = repairs.remove_patterns(df, "t", patterns)
         assert rows(r.good) == [("fine",), ("x.y",), (None,)]
-        assert rows(r.rejects) == [("a[b",), ("see client/phone # 5",)]
+        assert rows(r.rejects) == [("a Q\\e b",), ("a[b",), ("see client/phone # 5",)]
 
     def test_no_patterns_remove_nothing(self, spark):
         df = spark.createDataFrame([("a",), (None,)], "t STRING")
@@ -132,6 +133,24 @@ class TestCodes:
         assert rows(codes.map_codes(df, self.code_map(spark), "T", ["G"])) == [("x",)]
         assert rows(codes.map_codes(df, self.code_map(spark), "T", ["G"], "strict")) == [(None,)]
 
+    @pytest.mark.parametrize("n", [3, 500])
+    def test_unchecked_dictionaries_never_multiply_rows(self, spark, n):
+        entries = [("T", "F", s, v) for s, v in ((None, "N"), ("a", "1"), ("A", "3"), ("a", "2"), *[(f"k{i}", f"v{i}") for i in range(n)])]
+        raw = spark.createDataFrame(entries, reference.CODE_MAP_SCHEMA)
+        df = spark.createDataFrame([("a",), (None,), ("zz",)], "F STRING")
+        assert rows(codes.map_codes(df, raw, "T", ["F"])) == sorted([("3",), (None,), ("zz",)], key=repr)
+
+    def test_the_jobs_decide_about_case(self):
+        for table, job in mapping.JOBS.items():
+            for field in job.codes + job.exact_codes + job.strict_codes:
+                assert codes.unit_name(table, field) == (field in job.exact_codes), (table, field)
+
+    def test_missing_keys_are_refused(self, spark):
+        with pytest.raises(ValueError):
+            codes.checked(spark.createDataFrame([("T", "F", None, "1")], reference.CODE_MAP_SCHEMA))
+        with pytest.raises(ValueError):
+            codes.checked(spark.createDataFrame([("DISPENSING", "DISPENSE_DOSE_DISP_UNIT", x, "1") for x in ("mg", "MG")], reference.CODE_MAP_SCHEMA))
+
     def test_colliding_keys_are_refused(self, spark):
         with pytest.raises(ValueError):
             reference.code_map(spark, {("T", "F"): {"a": "1", "A": "2"}})
@@ -185,24 +204,36 @@ class TestHistory:
 
     @staticmethod
     def by_pairs(old, new):
-        def later(a, b):
-            return b if a and b and a < b else a
-
+        """The rule, row by row; dates are ISO texts."""
         out = []
         for e in old:
             mine = [n for n in new if n[0] == e[0]]
-            if not mine:
-                out.append(e)
-            other = [n[2] for n in mine if e[1] is None or (n[1] is not None and n[1] != e[1])]
-            if other:
-                out.append((e[0], e[1], e[2], later(e[2], min([s for s in other if s], default=None))))
-            same = [n for n in mine if e[1] is not None and n[1] == e[1]]
+            same = [n[2] for n in mine if n[1] == e[1]]
+            starts = [s for s in same if s]
             if same:
-                starts = [n[2] for n in same if n[2]]
-                first, last = min(starts, default=None), max(starts, default=None)
-                out.append((e[0], e[1], first if e[2] and first and first <= e[2] else e[2], later(e[2], last)))
-        have = {(e[0], e[1]) for e in old if e[1] is not None}
-        return out + [n for n in new if (n[0], n[1]) not in have]
+                held = [*starts, *([e[2]] if e[2] else [])]
+                out.append((e[0], e[1], min(held, default=None), max(held, default=None)))
+            else:
+                later = [n[2] for n in mine if n[2] and (not e[2] or n[2] > e[2])]
+                out.append((e[0], e[1], e[2], min(later, default=e[3])))
+        have = {(e[0], e[1]) for e in old}
+        fresh = [n for n in new if (n[0], n[1]) not in have]
+        assert len(out + fresh) == len(old) + len(fresh)
+        return out + fresh
+
+    def test_a_second_run_adds_nothing(self, spark):
+        old = spark.createDataFrame([("p", "A", "2020-01-01", None), ("q", None, None, None)], self.schema)
+        new = spark.createDataFrame([("p", None, "2021-01-01", None), ("p", "B", "2019-01-01", None), ("q", None, "2021-01-01", None), (None, "C", None, None)], self.schema)
+        once = history.merge_history(old, new)
+        assert rows(once) == sorted([
+            ("p", "A", "2020-01-01", "2021-01-01"), ("q", None, "2021-01-01", "2021-01-01"), ("p", None, "2021-01-01", None), ("p", "B", "2019-01-01", None), (None, "C", None, None),
+        ], key=repr)
+        assert history.merge_history(once, new).count() == once.count()
+
+    def test_released_data_can_be_matched(self, spark):
+        old = spark.createDataFrame([("p", "A", "2020-01-01", None)], self.schema)
+        new = spark.createDataFrame([("p", "A", "2019-01-01", None), ("p", "B", "2021-01-01", None)], self.schema)
+        assert history.merge_history(old, new).count() == 2 and history.merge_history(old, new, parity=True).count() == 3
 
 
 class TestRouting:
@@ -242,6 +273,13 @@ class TestRouting:
         back = route.from_common(routed, route.LAB, ["LAB_RESULT_CM_ID", "LAB_LOINC", "RAW_PANEL"])
         assert ("c1", "lab", None) in rows(back)
 
+    def test_the_code_type_travels(self, spark):
+        tables = self.tables(spark)
+        tables[route.LAB] = tables[route.LAB].withColumn("LAB_PX_TYPE", F.lit("CH"))
+        routed = route.route(tables, self.flags(spark))
+        assert ("l4", "CH") in rows(route.from_common(routed, route.GEN, ["OBSGENID", "OBSGEN_TYPE"]))
+        assert ("c2", "SM") in rows(route.from_common(routed, route.LAB, ["LAB_RESULT_CM_ID", "LAB_PX_TYPE"]))
+
     def test_absent_destination_starts_empty(self, spark):
         routed = route.route({route.LAB: self.tables(spark)[route.LAB]}, self.flags(spark))
         assert rows(route.from_common(routed, route.GEN, ["OBSGENID", "OBSGEN_CODE", "OBSGEN_TYPE"])) == [("l4", "gen", None)]

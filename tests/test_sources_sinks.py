@@ -60,12 +60,22 @@ def test_shaped_extract_in_both_layouts(spark, tmp_path):
         "RAW_OBSCLIN_CODE RAW_OBSCLIN_TYPE RAW_OBSCLIN_RESULT RAW_OBSCLIN_MODIFIER RAW_OBSCLIN_UNIT".split())
         + "\n1;p;e;d;2020-02-03 10:30:00;2020-02-03 10:30:00;LC;c;low;;;5.5;EQ;kg;OD;;;;;;\n")
     for folder, stop, abnormal in (("a", None, "AB"), ("b", "2020-02-03", None)):
-        df, layout = pcornet.read(spark, "OBS_CLIN", str(tmp_path / folder))
+        [(df, layout)] = pcornet.read(spark, "OBS_CLIN", str(tmp_path / folder))
         r = pcornet.run("OBS_CLIN", df, layout.sep).first()
         assert (r["OBSCLIN_START_DATE"], r["OBSCLIN_START_TIME"], r["OBSCLIN_STOP_DATE"]) == ("2020-02-03", "10:30", stop)
         assert (r["OBSCLIN_RESULT_QUAL"], r["OBSCLIN_RESULT_NUM"], r["OBSCLIN_ABN_IND"]) == ("OT", 5.5, abnormal)
 
 
+def test_files_of_all_patterns_and_layouts_are_read(spark, tmp_path):
+    columns = sorted({c for c in columns_used(pcornet.JOBS["MED_ADMIN"])} | {"MEDADMINID"})
+    write(tmp_path / "x_Medadmin_1.txt", "~".join(columns).lower() + "\n" + "~".join("1" for _ in columns) + "\n")
+    write(tmp_path / "x_Med_Admin_2.txt", "~".join(columns).lower() + "\n" + "~".join("2" for _ in columns) + "\n")
+    write(tmp_path / "y_Med_Admin_3.txt", ";".join(columns) + "\n" + ";".join("3" for _ in columns) + "\n")
+    assert {r["MEDADMINID"] for r in pcornet.read_and_run(spark, "MED_ADMIN", str(tmp_path)).collect()} == {"1", "2", "3"}
+    with pytest.raises(FileNotFoundError):
+        pcornet.read(spark, "VITAL", str(tmp_path))
+
+
 def test_disposition_comes_from_another_column_in_the_second_layout(spark):
     columns = sorted({c.upper() for c in columns_used(pcornet.JOBS["ENCOUNTER"])} | {"DISCHARGE_DISPOSITION"})
     df = spark.createDataFrame(
