@@ -90,10 +90,16 @@ DATED = {
 }
 
 
+def target_columns(table: str) -> list[str]:
+    """All columns of a target table, as its widest format job writes them."""
+    widest = max((list(jobs[table].columns) for jobs in (pcornet.JOBS, flat.JOBS) if table in jobs), key=len, default=[])
+    return widest + ([f"TOKEN_{k:02d}" for k in range(1, 33)] if table == "HASH_TOKEN" else [])
+
+
 def mapped_columns(table: str) -> list[str]:
     job = mapping.JOBS[table]
     names = [*job.ids, *job.codes, *job.exact_codes, *job.strict_codes, *DATED[table].split(), "RAW_EXTRA_COLUMN"]
-    return list(dict.fromkeys(names))
+    return list(dict.fromkeys([*names, *target_columns(table)]))
 
 
 def dictionaries(table: str) -> dict[tuple[str, str], dict[str, str]]:
