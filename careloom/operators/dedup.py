@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from careloom.operators.keys import WIDTH
+
 COPIES_PER_STEP = 100_000
 
 
@@ -52,20 +55,29 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 def surplus_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()) -> DataFrame:
     """Every row that ``keep_first`` leaves out, copies included.
 
-    A multiset difference grouped by the whole row: copies collapse before the
-    shuffle and a hot key with differing rows spreads over all partitions.
+    Only rows of repeated keys can be left out, so the narrow counts of the keys come first.
+    Among those rows it is a multiset difference grouped by the whole row: copies collapse
+    before the shuffle and a hot key with differing rows spreads over all partitions.
     """
-    cols = df.columns
+    df, cols = _of_repeated_keys(df, keys), df.columns
     signed = df.withColumn("__n", F.lit(1)).unionAll(keep_first(df, keys, order_by).withColumn("__n", F.lit(-1)))
     left = signed.groupBy(*cols).agg(F.sum("__n").alias("__n")).where("__n > 0")
     return repeat_rows(left, "__n")
 
 
+def _of_repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The second key, made of the others, gives the join exchanges of its own, so that a hot key is split."""
+    named = {k: f"__key{n}" for n, k in enumerate(keys)}
+    repeated = duplicate_keys(df, keys).select(*[F.col(k).alias(n) for k, n in named.items()])
+    repeated = repeated.withColumn("__mark", F.pmod(F.xxhash64(*named.values()), F.lit(WIDTH)))
+    test = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()])
+    own = df.withColumn("__own", F.pmod(F.xxhash64(*keys), F.lit(WIDTH)))
+    return own.join(repeated, test & (F.col("__own") == F.col("__mark")), "left_semi").select(*df.columns)
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` over.  Very long runs of copies are dealt out to many tasks."""
-    short = df.where(F.col(times) <= COPIES_PER_STEP)
-    long = _steps(df.where(F.col(times) > COPIES_PER_STEP), times)
-    every = short.unionByName(long)
+    """Each row ``times`` over, dealt out in steps so that a very long run of copies is made by many tasks."""
+    every = _steps(df, times)
     return every.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop("__copy", times)
 
 
