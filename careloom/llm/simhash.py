@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -24,6 +25,11 @@ BUCKET = 64
 # rows compared in one go; whole buckets
 COMPARED_ROWS = 1 << 15
 PLANES_PER_STEP = 8
+# the same for buckets of sampled keys, of which more bits make many more keys
+SAMPLED_BUCKET = 512
+KEY_BITS = 16
+# share of the links between texts of this similarity that sampled keys may miss
+SIMILARITY, MISSED = 0.8, 0.02
 
 
 def fingerprint(text: bytes | None, shingle_words: int, words64: int) -> bytes:
@@ -82,11 +88,25 @@ def covering_keys(bits: int, radius: int, rows: int) -> list[list[int]]:
     return [np.concatenate(chosen).tolist() for chosen in combinations(blocks, s)]
 
 
-def sampled_keys(bits: int, key_bits: int, rounds: int) -> list[list[int]]:
-    """Keys of single bits dealt out at random, each bit once in a round."""
+def missed(bits: int, radius: int, key_bits: int, keys: int, similarity: float = SIMILARITY) -> float:
+    """Share of the pairs of a similarity and within the radius that no key of random bits is the same for."""
+    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    binomial = [math.comb(bits, d) * apart**d * (1 - apart) ** (bits - d) for d in range(radius + 1)]
+    alike = [math.comb(bits - d, key_bits) / math.comb(bits, key_bits) for d in range(radius + 1)]
+    return sum(w * (1 - s) ** keys for w, s in zip(binomial, alike)) / sum(binomial)
+
+
+def sampled_keys(bits: int, radius: int, rows: int) -> list[list[int]]:
+    """Keys of single bits dealt out at random, each bit once in a round.
+
+    More rows get longer keys, so that buckets stay small, and more of them, so that no more links are missed.
+    """
+    key_bits = KEY_BITS
+    while rows > SAMPLED_BUCKET << key_bits:
+        key_bits += 1
     deal = np.random.default_rng(SEED)
-    keys = []
-    for _ in range(rounds):
+    keys: list[list[int]] = []
+    while not keys or missed(bits, radius, key_bits, len(keys)) > MISSED:
         order = deal.permutation(bits)
         keys += [order[i : i + key_bits].tolist() for i in range(0, bits - key_bits + 1, key_bits)]
     return keys
@@ -246,7 +266,8 @@ def near_duplicates(
     Words stand between ASCII white space, A-Z count as a-z; shingles are runs of words, repeats included; a text
     of fewer words is one shingle; one without words, or null, has the fingerprint zero and is linked like any
     other.  Fingerprints link if at most ``radius`` bits differ.  With ``exact`` every such link is found; else
-    candidates share one of 32 keys of 16 bits, which two texts of a similarity of 0.9 miss about once in 500.
+    candidates share a key of sampled bits, which one in fifty or fewer of the links between texts of a similarity
+    of 0.8 does not; more rows get longer keys and more of them.
 
     Equal fingerprints are one class before anything is compared, buckets of many classes are dealt out as pairs
     of chunks, and a bucket gives no more links than it has rows.  Null ids take part but are nobody's smallest
@@ -256,7 +277,7 @@ def near_duplicates(
     bits = 64 * words64
     rows = stage(fingerprints(docs, shingle_words, words64, id_col, text_col), "fingerprints")
     classes = stage(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "classes")
-    keys = covering_keys(bits, radius, classes.count()) if exact else sampled_keys(bits, 16, 2)
+    keys = covering_keys(bits, radius, classes.count()) if exact else sampled_keys(bits, radius, classes.count())
     keyed = stage(_keyed(classes, keys, bits), "keyed")
     found = components(_forest(_dealt(keyed), bits, radius))
     labelled = classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")

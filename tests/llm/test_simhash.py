@@ -98,6 +98,16 @@ def test_keys_cover_the_radius(value, flips, rows):
     assert any((one[k] == two[k]).all() for k in simhash.covering_keys(64, 4, rows))
 
 
+@pytest.mark.parametrize("rows", [1000, 1 << 27, 1 << 33])
+def test_sampled_keys_miss_few_links_of_many_rows(rows):
+    keys = simhash.sampled_keys(256, 44, rows)
+    assert rows <= simhash.SAMPLED_BUCKET << len(keys[0]) and len({len(k) for k in keys}) == 1
+    apart = np.random.default_rng(7).random((6000, 256)) < np.arccos(1.6 / 1.8) / np.pi
+    apart = apart[apart.sum(1) <= 44]
+    missed = sum(all(row[k].any() for k in keys) for row in apart)
+    assert missed < 0.03 * len(apart)
+
+
 def test_large_buckets_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 16)
     monkeypatch.setattr(simhash, "COMPARED_ROWS", 8)
