@@ -32,6 +32,16 @@ def with_spread(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(SPREAD, spread(F.col(key), *[F.col(c) for c in df.columns]))
 
 
+def left_join_grouped(df: DataFrame, side: DataFrame, key: Column, side_key: str) -> DataFrame:
+    """Left join of a side that was grouped by its key, without the key; adaptive execution can split hot keys."""
+    own = df.withColumn("__own", key)
+    own = own.withColumn(SPREAD, spread(F.col("__own"), *[F.col(c) for c in df.columns]))
+    typed = side.withColumn(side_key, F.col(side_key).try_cast(own.schema["__own"].dataType))
+    typed = typed.withColumn("__side", spread(F.col(side_key)))
+    test = (own["__own"] == typed[side_key]) & (own[SPREAD] == typed["__side"])
+    return own.join(typed, test, "left").drop("__own", SPREAD, side_key, "__side")
+
+
 def keys_of(parents: DataFrame, parent_key: str, child: DataFrame, key: str) -> DataFrame:
     """Non-NULL parent keys under the child's name and type, ready to be joined on (key, SPREAD)."""
     typed = F.col(parent_key).try_cast(child.schema[key].dataType).alias(key)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from careloom.functions.text import county_key, zip_key
 from careloom.operators.dedup import last_per_key
-from careloom.operators.keys import SPREAD, spread, with_spread
+from careloom.operators.keys import SPREAD, left_join_grouped, spread, with_spread
 
 
 def lookup(
@@ -57,16 +57,16 @@ def zip_to_ruca(df: DataFrame, ruca_zip: DataFrame, zip_column: str, name: str =
     side = ruca_zip.groupBy(zip_key(F.col("ZIPCode").cast("string")).alias("__zip")).agg(
         F.max(F.col("PrimaryRUCA").cast("string")).alias("__ruca")
     )
-    joined = df.join(side, F.upper(F.col(zip_column)) == F.col("__zip"), "left")
-    return joined.withColumn(name, F.coalesce("__ruca", F.lit(""))).drop("__zip", "__ruca")
+    joined = left_join_grouped(df, side, F.upper(F.col(zip_column)), "__zip")
+    return joined.withColumn(name, F.coalesce("__ruca", F.lit(""))).drop("__ruca")
 
 
 def county_to_fips(df: DataFrame, tracts: DataFrame, county_column: str, name: str = "COUNTY_FIPS") -> DataFrame:
     side = tracts.groupBy(county_key(F.col("CountyName20")).alias("__county")).agg(
         F.max(F.col("CountyFIPS20").cast("string")).alias("__fips")
     )
-    joined = df.join(side, F.upper(F.col(county_column)) == F.col("__county"), "left")
-    return joined.withColumn(name, F.col("__fips")).drop("__county", "__fips")
+    joined = left_join_grouped(df, side, F.upper(F.col(county_column)), "__county")
+    return joined.withColumn(name, F.col("__fips")).drop("__fips")
 
 
 def zip_to_state_fips(
@@ -84,5 +84,5 @@ def zip_to_state_fips(
         .join(state, "__state", "left")
         .drop("__state")
     )
-    joined = df.join(zips, F.col(zip_column) == F.col("__zip"), "left")
-    return joined.withColumn(name, F.col("__fips")).drop("__zip", "__fips")
+    joined = left_join_grouped(df, zips, F.col(zip_column), "__zip")
+    return joined.withColumn(name, F.col("__fips")).drop("__fips")

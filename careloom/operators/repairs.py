@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careloom.functions.dates import days_before
+from careloom.operators.keys import left_join_grouped
 from careloom.operators.result import Result
 
 
@@ -26,7 +27,7 @@ def delete_when_null(df: DataFrame, field: str) -> Result:
 def invalid_to_null(df: DataFrame, field: str, valueset: DataFrame, item: str = "VALUESET_ITEM") -> Result:
     """Make codes outside the value set NULL."""
     valid = valueset.select(F.trim(item).alias("__item")).distinct().withColumn("__valid", F.lit(True))
-    joined = df.join(valid, F.col(field) == F.col("__item"), "left")
+    joined = left_join_grouped(df, valid, F.col(field), "__item")
     outside = F.col("__valid").isNull() & F.col(field).isNotNull()
     return Result(
         good=joined.withColumn(field, F.when(F.col("__valid"), F.col(field))).select(*df.columns),

@@ -94,7 +94,13 @@ def run_batch(
     for table in order:
         steps = [*chains.CHAINS.get(table, ()), *batch.extra_fixes.get(table, ())]
         usable = [s for s in steps if _parent_present(s, table, fixed, batch.absent_parents)]
-        good, results = chains.run_chain(mapped[table], usable, chains.Context(fixed, batch.lists))
+
+        def settle(df: DataFrame, name: str, table: str = table) -> DataFrame:
+            path = f"{batch.path('fixing', table)}/{name}"
+            write_stage(df, path)
+            return read_stage(spark, path)
+
+        good, results = chains.run_chain(mapped[table], usable, chains.Context(fixed, batch.lists), settle)
         write_stage(good, batch.path("fixed", table))
         write_rejects(results, batch.path("fixed_rejects", table))
         fixed[table] = read_stage(spark, batch.path("fixed", table))

@@ -107,10 +107,19 @@ CHAINS: dict[str, tuple[Step, ...]] = {
 ORDER = ("DEMOGRAPHIC", "PROVIDER", "ENCOUNTER", *[t for t in CHAINS if t not in ("DEMOGRAPHIC", "PROVIDER", "ENCOUNTER")])
 
 
-def run_chain(df: DataFrame, steps: Sequence[Step], context: Context) -> tuple[DataFrame, dict[str, Result]]:
-    """The repaired table as one lazy plan, and what each step touched."""
+def run_chain(
+    df: DataFrame, steps: Sequence[Step], context: Context, settle: Callable[[DataFrame, str], DataFrame] | None = None
+) -> tuple[DataFrame, dict[str, Result]]:
+    """The repaired table, and what each step touched.
+
+    Without ``settle`` all is one lazy plan.  What a step touched is computed from the table before it, so whoever
+    reads that for every step gives a ``settle`` that writes a table under a name and reads it back: each repair then
+    runs once, where it would run again for every later step.
+    """
     results: dict[str, Result] = {}
-    for s in steps:
+    for number, s in enumerate(steps):
+        if settle and number:
+            df = settle(df, f"{number}_{steps[number - 1].name}")
         result = FIXES[s.fix](df, context, **dict(s.options))
         results[s.name] = result
         df = result.good

@@ -6,7 +6,7 @@ for the session's own catalog.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +44,15 @@ def _dealt(df: DataFrame, target: Target) -> DataFrame:
     return df.repartition(target.partitions) if target.partitions else df
 
 
-def prepare(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
-    """Typed by the spec, with widths as observed in the table."""
-    return sch.apply_schema(df, sch.table_schema(fields, sch.observed_widths(df)))
+def prepare(df: DataFrame, fields: list[tuple[str, str]], widths: Mapping[str, int] | None = None) -> DataFrame:
+    """Typed by the spec, with widths as given or else as observed in the table."""
+    return sch.apply_schema(df, sch.table_schema(fields, sch.observed_widths(df) if widths is None else dict(widths)))
+
+
+def _widest(columns: Sequence[str], *tables: DataFrame) -> dict[str, int]:
+    """Widths that hold for the rows of several tables."""
+    seen = [sch.observed_widths(t) for t in tables]
+    return {c: max(w.get(c, 0) for w in seen) for c in columns if any(c in w for w in seen)}
 
 
 def replace_table(df: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]]) -> None:
@@ -56,9 +62,17 @@ def replace_table(df: DataFrame, target: Target, batch: str, table: str, fields:
 def merge_table(
     df: DataFrame, existing: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]]
 ) -> None:
-    """Load the batch together with the rows the warehouse has and the batch does not."""
-    merged = df if table in NEVER_MERGED else upsert_keep_new(existing, df, PRIMARY_KEYS[table])
-    save(_dealt(prepare(merged, fields), target), target, target.name(f"{batch}_merged", table))
+    """Load the batch together with the rows the warehouse has and the batch does not.
+
+    Widths are those of the two inputs, so that the rows are merged once, for the load; they may exceed those of
+    the merged rows where the widest row gave way to a new one.
+    """
+    if table in NEVER_MERGED:
+        merged, widths = df, None
+    else:
+        merged = upsert_keep_new(existing, df, PRIMARY_KEYS[table])
+        widths = _widest(merged.columns, existing, df)
+    save(_dealt(prepare(merged, fields, widths), target), target, target.name(f"{batch}_merged", table))
 
 
 def all_text(df: DataFrame) -> DataFrame:
