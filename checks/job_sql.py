@@ -134,7 +134,7 @@ def code_values(dictionary: dict[tuple[str, str], dict[str, str]]) -> str:
     return f"(VALUES {rows}) AS m(tbl, field, source_value, target_value)"
 
 
-def map_sql(table: str, job: MapJob, columns: list[str], view: str, dictionary, site, ruca: str | None = None) -> str:
+def map_sql(table: str, job: MapJob, columns: list[str], view: str, dictionary, site) -> str:
     """A map job over a view given as SQL."""
     out = []
     for c in columns:
@@ -145,8 +145,6 @@ def map_sql(table: str, job: MapJob, columns: list[str], view: str, dictionary,
             stored = "source_value" if c in job.exact_codes else "upper(source_value)"
             found = f"(SELECT max(target_value) FROM codes WHERE tbl = '{table}' AND field = '{c}' AND {stored} = {key})"
             out.append(f"{found} AS {c}" if c in job.strict_codes else f"coalesce({found}, {c}) AS {c}")
-        elif c == "RUCA_ZIP" and ruca:
-            out.append(f"coalesce((SELECT max(code) FROM ({ruca}) WHERE zip = upper(ADDRESS_ZIP5)), '') AS RUCA_ZIP")
         else:
             out.append(c)
     out += [f"'{site.updated}' AS UPDATED", f"'{site.code}' AS SOURCE"]

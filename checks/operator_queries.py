@@ -911,19 +911,28 @@ PART_TEXT = (
 )
 
 
-@query(
-    "spec_schema",
+_SCHEMA_SQL = (
     "SELECT unnest(['P_PARTKEY', 'P_NAME', 'P_BRAND', 'RAW_TYPE', 'P_DATE', 'PATID', 'EXTRA', 'UPDATED', 'SOURCE']) AS field, unnest(['FLOAT', "
     "'VARCHAR(' || greatest(30, max(length(P_NAME))) || ')', 'VARCHAR(' || max(length(P_BRAND)) || ')', 'VARCHAR(' || max(length(RAW_TYPE)) || ')', 'DATE', "
     "'VARCHAR(' || greatest(64, max(length(PATID))) || ')', 'VARCHAR(' || max(length(EXTRA)) || ')', 'VARCHAR(19)', 'VARCHAR(20)']) AS sql_type "
-    f"FROM ({_duck(PART_TEXT)})",
+    f"FROM ({_duck(PART_TEXT)})"
 )
+
+
+@query("spec_schema", _SCHEMA_SQL)
 def _(t: Inputs):
     df = t.view(PART_TEXT)
     typed = schema.table_schema(PART_SPEC, schema.observed_widths(df))
     return t.spark.createDataFrame([(f.name, schema.sql_type(f)) for f in typed], "field STRING, sql_type STRING")
 
 
+@query("ddl_render", f"SELECT string_agg(field || ' ' || sql_type, ',' || chr(10)) AS ddl FROM ({_SCHEMA_SQL})")
+def _(t: Inputs):
+    """One line of text per column of the table, whatever its rows."""
+    typed = schema.table_schema(PART_SPEC, schema.observed_widths(t.view(PART_TEXT)))
+    return t.spark.createDataFrame([(schema.ddl(typed),)], "ddl STRING")
+
+
 @query(
     "typed_cast",
     "SELECT TRY_CAST(P_PARTKEY AS DOUBLE) AS P_PARTKEY, P_NAME, P_BRAND, RAW_TYPE, CAST(TRY_CAST(P_DATE AS DATE) AS VARCHAR) AS P_DATE, PATID, EXTRA, "

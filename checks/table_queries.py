@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import job_sql, views
+from checks import job_sql, views, written_sql
 from checks.registry import Inputs, Views, query
 from careloom.plans import chains, flat, mapping, omop, pcornet
-from careloom.plans.spec import Job, columns_used, run_job, override
+from careloom.plans.spec import Const, Job, columns_used, override, run_job, use
 from careloom.sources.reference import code_map
 
 SITE = mapping.Site(code="ABC", key="test-key", updated="2024-01-01 00:00:00")
@@ -16,11 +16,22 @@ RUCA = (
 
 
 def _flat(table: str) -> None:
-    @query(f"fmt_flat_{table.lower()}", views.for_duckdb(job_sql.job_sql(flat.JOBS[table], views.FLAT)))
+    sql = written_sql.flat_encounter() if table == "ENCOUNTER" else views.for_duckdb(job_sql.job_sql(flat.JOBS[table], views.FLAT))
+
+    @query(f"fmt_flat_{table.lower()}", sql)
     def run(t: Inputs):
         return run_job(flat.JOBS[table], Views(t, views.FLAT))
 
 
+@query(
+    "column_override",
+    f"SELECT * REPLACE ('HOSPITAL' AS FACILITY_TYPE, substr(PATID, 1, 8) AS RAW_SITEID) FROM ({written_sql.flat_encounter()})",
+)
+def _(t: Inputs):
+    job = override(flat.JOBS["ENCOUNTER"], FACILITY_TYPE=Const("HOSPITAL"), RAW_SITEID=use("first_eight", "person_id"))
+    return run_job(job, Views(t, views.FLAT))
+
+
 def _omop(table: str) -> None:
     sql = VITAL_SQL if table == "VITAL" else views.for_duckdb(job_sql.job_sql(omop.JOBS[table], views.OMOP))
 
@@ -116,7 +127,10 @@ def _map(table: str) -> None:
     view, codes = views.shaped(columns, dirty=False), dictionaries(table)
     ruca = RUCA if table == "LDS_ADDRESS_HISTORY" else None
     stored = codes or {(table, "NONE"): {"x": "y"}}
-    sql = views.for_duckdb(job_sql.map_sql(table, job, columns, view, stored, SITE, ruca))
+    if ruca:
+        sql = written_sql.map_address_history(view, lambda c: job_sql.keyed(SITE.key, SITE.code, c), SITE.updated, SITE.code, ruca)
+    else:
+        sql = views.for_duckdb(job_sql.map_sql(table, job, columns, view, stored, SITE))
 
     @query(f"map_{table.lower()}", sql)
     def run(t: Inputs):
@@ -139,7 +153,12 @@ def _chain(table: str) -> None:
     columns = [c for c in mapped_columns(table) if c != "RAW_EXTRA_COLUMN"]
     view = views.shaped(columns, dirty=False)
 
-    @query(f"chain_{table.lower()}", views.for_duckdb(job_sql.chain_sql(steps, columns, view, PARENTS)))
+    if table == "DIAGNOSIS":
+        sql = written_sql.repair_diagnoses(view, PARENTS["DEMOGRAPHIC"], PARENTS["ENCOUNTER"], PARENTS["PROVIDER"])
+    else:
+        sql = views.for_duckdb(job_sql.chain_sql(steps, columns, view, PARENTS))
+
+    @query(f"chain_{table.lower()}", sql)
     def run(t: Inputs):
         return chains.run_chain(t.view(view), steps, chains.Context(Views(t, PARENTS)))[0]
 
