@@ -59,3 +59,15 @@ def read_code_map(spark: SparkSession, path: str) -> DataFrame:
 
 def table_dictionary(code_map: DataFrame, table: str) -> DataFrame:
     return code_map.where(F.col("table") == table)
+
+
+def stage_vocabulary(concept: DataFrame, table: str, files: int = 8) -> DataFrame:
+    """The vocabulary as a table of the session's catalog partitioned by domain, written once for a batch.
+
+    A lookup takes one domain.  Of files Spark knows the whole size only and shuffles the other side for every
+    lookup; of a table's pruned partitions it knows the domain's, so that small domains (types, units, routes) are
+    broadcast by their size.  Large domains are written in up to ``files`` parts.  An empty domain comes back as none.
+    """
+    dealt = concept.repartition("domain_id", F.pmod(F.xxhash64("concept_id"), F.lit(files)))
+    dealt.write.mode("overwrite").format("parquet").partitionBy("domain_id").saveAsTable(table)
+    return concept.sparkSession.table(table).select(concept.columns)

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from careloom.operators import dedup, orphans, profile
 from careloom.operators.history import merge_history
-from careloom.operators.lookup import lookup
+from careloom.operators.lookup import lookup, zip_to_ruca
+from careloom.operators.repairs import invalid_to_null
+from careloom.plans import chains
+from careloom.sources.reference import stage_vocabulary
 from tests.conftest import SMALL
 
 
@@ -56,6 +59,57 @@ def test_dimension_joins_are_broadcast_by_size(spark):
     assert "BroadcastHashJoin" in plan(lookup(line, part, {"l_partkey": "p_partkey"}, {"brand": "p_brand"}))
 
 
+def test_small_domains_of_a_large_vocabulary_are_broadcast(spark, tmp_path):
+    domain = F.when(F.col("id") < 40, "Visit").when(F.col("id") < 44, F.lit(None)).otherwise("Drug")
+    one = spark.range(200_000).select(F.col("id").cast("string").alias("concept_id"), domain.alias("domain_id"), F.sha2(F.col("id").cast("string"), 256).alias("concept_name"))
+    one.write.parquet(str(tmp_path / "plain"))
+    plain = spark.read.parquet(str(tmp_path / "plain"))
+    staged = stage_vocabulary(plain, "vocabulary_by_domain")
+    visits = spark.range(1_000_000).select((F.col("id") % 50).cast("string").alias("visit"))
+    joined = [lookup(visits, c, {"visit": "concept_id"}, {"name": "concept_name"}, where="domain_id = 'Visit'") for c in (plain, staged)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    try:
+        assert ["BroadcastHashJoin" in plan(j.select("*")) for j in joined] == [False, True]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert staged.columns == plain.columns and staged.exceptAll(plain).isEmpty() and plain.exceptAll(staged).isEmpty()
+    assert joined[0].groupBy("name").count().exceptAll(joined[1].groupBy("name").count()).isEmpty()
+
+
+def test_a_settled_chain_runs_each_repair_once(spark, tmp_path):
+    ids = spark.range(60).select(F.col("id").cast("string").alias("n"))
+    rows = ids.selectExpr("n AS PATID", "n AS ENCOUNTERID", "n AS PROVIDERID", "'d' AS ADMIT_DATE", "'t' AS ENC_TYPE")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    tables = {
+        "DEMOGRAPHIC": ids.where("n % 7 > 0").select(F.col("n").alias("PATID")),
+        "ENCOUNTER": ids.where("n % 5 > 0").selectExpr("n AS ENCOUNTERID", "'2024' AS ADMIT_DATE", "'IP' AS ENC_TYPE"),
+        "PROVIDER": ids.where("n % 3 > 0").select(F.col("n").alias("PROVIDERID")),
+    }
+
+    def settle(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    lazy, once = (chains.run_chain(rows, chains.CHAINS["DIAGNOSIS"], chains.Context(tables), s) for s in (None, settle))
+    assert lazy[0].exceptAll(once[0]).isEmpty() and once[0].exceptAll(lazy[0]).isEmpty()
+    for name, result in once[1].items():
+        touched, before = (r.rejects if r.report is None else r.report for r in (result, lazy[1][name]))
+        assert len(re.findall(r"Join \[", plan(touched))) == 1
+        assert touched.exceptAll(before).isEmpty() and before.exceptAll(touched).isEmpty()
+
+
+@pytest.mark.parametrize("operator", ["valid codes", "zip"])
+def test_a_hot_key_is_split_in_lookups_of_lists(big_cluster, operator):
+    df, up = hot(big_cluster), parents(big_cluster)
+    if operator == "zip":
+        made = zip_to_ruca(df, up.select(F.col("K").alias("ZIPCode"), F.lit("1").alias("PrimaryRUCA")), "K")
+    else:
+        made = invalid_to_null(df, "K", up, "K").good
+    assert "skew=true" in run_plan(made)
+
+
 @pytest.fixture
 def big_cluster(spark):
     """Thresholds scaled down so that small data takes the plans of large data."""
