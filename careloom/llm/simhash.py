@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careloom.llm.components import components
@@ -24,6 +24,9 @@ CHUNK = 4096
 BUCKET = 64
 # rows compared in one go; whole buckets
 COMPARED_ROWS = 1 << 15
+COMPARED_BYTES = 32 << 20
+# shingles' hashes of one component of candidates that are compared within one task, in bytes; more are dealt out
+CHUNK_BYTES = 16 << 20
 PLANES_PER_STEP = 8
 # the same for buckets of sampled keys, of which more bits make many more keys
 SAMPLED_BUCKET = 512
@@ -32,18 +35,23 @@ KEY_BITS = 16
 SIMILARITY, MISSED = 0.8, 0.02
 
 
-def fingerprint(text: bytes | None, shingle_words: int, words64: int) -> bytes:
-    """Big-endian fingerprint of ``words64`` words of 64 bits: a bit is 1 if over half the shingles' hashes have it."""
+def _hashes(text: bytes | None, shingle_words: int) -> np.ndarray:
+    """Hashes of the shingles in order, repeats included; none for a text without words."""
     words = words_of(text)
     if not words:
-        return bytes(8 * words64)
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
     starts = np.append(0, ends[:-1] + 1)
     k = min(shingle_words, len(words))
     digest = xxhash.xxh64_intdigest
     places = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
-    hashes = np.array([digest(joined[i:j], SEED) for i, j in places], "<u8")
+    return np.array([digest(joined[i:j], SEED) for i, j in places], "<u8")
+
+
+def _majority(hashes: np.ndarray, words64: int) -> bytes:
+    if not len(hashes):
+        return bytes(8 * words64)
     out = []
     for word in range(words64):
         if word:
@@ -56,6 +64,11 @@ def fingerprint(text: bytes | None, shingle_words: int, words64: int) -> bytes:
     return b"".join(out)
 
 
+def fingerprint(text: bytes | None, shingle_words: int, words64: int) -> bytes:
+    """Big-endian fingerprint of ``words64`` words of 64 bits: a bit is 1 if over half the shingles' hashes have it."""
+    return _majority(_hashes(text, shingle_words), words64)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     """Other hashes made of 64-bit hashes (the splitmix64 finaliser)."""
     h = h + np.uint64(0x9E3779B97F4A7C15)
@@ -142,11 +155,15 @@ def _dealt(keyed: DataFrame) -> DataFrame:
     """Buckets; one of more than ``CHUNK`` rows becomes a bucket for each pair of its chunks."""
     large = stage(keyed.groupBy("bucket").count().where(F.col("count") > CHUNK), "large-buckets")
     keyed = keyed.join(large, "bucket", "left")
-    chunks = F.ceil(F.coalesce("count", F.lit(1)) / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("fingerprint"), chunks).cast("int")
+    return _in_pairs(keyed, F.ceil(F.coalesce("count", F.lit(1)) / CHUNK).cast("int"), ["fingerprint"])
+
+
+def _in_pairs(keyed: DataFrame, chunks: Column, columns: list[str]) -> DataFrame:
+    """Each row with all pairs ``(i, j)`` of chunks of its bucket that its own chunk is in."""
+    own = F.pmod(F.xxhash64(*columns[:2]), chunks).cast("int")
     pair = F.expr("explode(transform(sequence(0, chunks - 1), o -> struct(least(o, own) AS i, greatest(o, own) AS j)))")
     dealt = keyed.withColumn("chunks", chunks).withColumn("own", own)
-    return dealt.select("bucket", "fingerprint", pair.alias("pair")).select("bucket", "pair.i", "pair.j", "fingerprint")
+    return dealt.select("bucket", *columns, pair.alias("pair")).select("bucket", "pair.i", "pair.j", *columns)
 
 
 def _plane(bits: np.ndarray) -> np.ndarray:
@@ -166,14 +183,15 @@ def _add(counters: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> n
     return carry
 
 
-def linked_rows(each: np.ndarray, left: np.ndarray, radius: int) -> np.ndarray:
+def linked_rows(each: np.ndarray, left: np.ndarray, radius: int, alike: Callable[[int, int], bool] | None = None) -> np.ndarray:
     """For each row the first row of its bucket that a chain of links within the radius leads to.
 
     ``each``: the rows' bits; ``left``: how many rows of its bucket follow a row.  Bit planes stand vertically: one
     word holds a bit of 64 rows.  For each lag, a plane differs from itself shifted by the lag where a row and the
     one so far behind it differ, and these differences are added up for all rows at once by carry-save counters in
     planes.  A counter starts so that the first difference too many overflows it, and blocks of 64 rows that have
-    all overflown are abandoned.  Rows that a chain joins already are not compared again.
+    all overflown are abandoned.  Rows that a chain joins already are not compared again.  With ``alike``, a link
+    has to pass it too.
     """
     rows, bits = each.shape
     root = np.arange(rows)
@@ -212,6 +230,9 @@ def linked_rows(each: np.ndarray, left: np.ndarray, radius: int) -> np.ndarray:
         if alive.any():
             word, bit = np.nonzero(np.unpackbits(alive.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
             found = at[word] * 64 + bit
+            if alike:
+                found = found[root[found] != root[found + lag]]
+                found = found[[alike(k, k + lag) for k in found.tolist()]] if len(found) else found
             _join(root, found, found + lag)
     return root
 
@@ -229,30 +250,75 @@ def _join(root: np.ndarray, some: np.ndarray, others: np.ndarray) -> None:
 def _forest(dealt: DataFrame, bits: int, radius: int) -> DataFrame:
     """Links that span the chains within each bucket: fewer than it has rows, never all its pairs."""
 
-    def compare(buckets: list, found: list[bytes]) -> pa.RecordBatch:
-        change = np.array([True] + [x != y for x, y in zip(buckets[1:], buckets)])
-        ends = np.append(np.flatnonzero(change)[1:], len(found))
-        left = np.repeat(ends, np.diff(np.append(np.flatnonzero(change), len(found)))) - np.arange(len(found)) - 1
-        root = linked_rows(_bits_of(found, bits), left, radius)
+    def compare(buckets: list, rows: list[list[bytes]]) -> pa.RecordBatch:
+        found = rows[0]
+        root = linked_rows(_bits_of(found, bits), _followers(buckets), radius)
         linked = np.flatnonzero(root != np.arange(len(found)))
         pairs = [pa.array([found[k] for k in rows], pa.binary()) for rows in (linked, root[linked])]
         return pa.RecordBatch.from_arrays(pairs, ["a", "b"])
 
+    return _by_bucket(dealt, compare)
+
+
+def _verified(dealt: DataFrame, bits: int, radius: int, similarity: float) -> DataFrame:
+    """Links between digests whose fingerprints are within the radius and whose sets of shingles are that similar.
+
+    ``dealt``: a bucket holds a component of candidates, or a pair of its chunks.  The links span the chains.
+    """
+
+    def compare(buckets: list, rows: list[list[bytes]]) -> pa.RecordBatch:
+        found, digests, packed = rows
+        sets = [np.frombuffer(p, "<u8") for p in packed]
+        root = linked_rows(_bits_of(found, bits), _followers(buckets), radius, lambda a, b: _similar(sets[a], sets[b], similarity))
+        linked = np.flatnonzero(root != np.arange(len(found)))
+        pairs = [pa.array([digests[k] for k in rows], pa.binary()) for rows in (linked, root[linked])]
+        return pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+
+    return _by_bucket(dealt, compare)
+
+
+def _similar(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is at least so much; empty sets are alike."""
+    few, many = sorted((len(one), len(other)))
+    if few == many == 0:
+        return True
+    if few / many < similarity:
+        return False
+    both = np.sort(np.concatenate([one, other]), kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared / (few + many - shared) >= similarity
+
+
+def _followers(buckets: list) -> np.ndarray:
+    """How many rows of its bucket follow each row."""
+    change = np.flatnonzero([True] + [x != y for x, y in zip(buckets[1:], buckets)])
+    ends = np.append(change[1:], len(buckets))
+    return np.repeat(ends, np.diff(np.append(change, len(buckets)))) - np.arange(len(buckets)) - 1
+
+
+def _by_bucket(dealt: DataFrame, compare: Callable[[list, list[list[bytes]]], pa.RecordBatch]) -> DataFrame:
+    """Links ``(a, b)`` of whole buckets: ``compare`` gets the buckets' keys and the columns after bucket, i and j."""
+    width = len(dealt.columns) - 3
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets: list = []
-        found: list[bytes] = []
+        rows: list[list[bytes]] = [[] for _ in range(width)]
+        held = 0
         for batch in batches:
             buckets += zip(*(batch.column(k).to_pylist() for k in range(3)))
-            found += batch.column(3).to_pylist()
-            if len(found) >= COMPARED_ROWS:
-                cut = len(found)
+            for k in range(width):
+                rows[k] += batch.column(3 + k).to_pylist()
+            held += batch.nbytes
+            if len(buckets) >= COMPARED_ROWS or held >= COMPARED_BYTES:
+                cut = len(buckets)
                 while cut and buckets[cut - 1] == buckets[-1]:
                     cut -= 1
                 if cut:  # the last bucket may go on
-                    yield compare(buckets[:cut], found[:cut])
-                    buckets, found = buckets[cut:], found[cut:]
-        if found:
-            yield compare(buckets, found)
+                    yield compare(buckets[:cut], [r[:cut] for r in rows])
+                    buckets, rows = buckets[cut:], [r[cut:] for r in rows]
+                    held = sum(map(len, rows[-1]))
+        if buckets:
+            yield compare(buckets, rows)
 
     grouped = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return grouped.mapInArrow(run, "a BINARY, b BINARY")
@@ -263,28 +329,72 @@ def near_duplicates(
 ) -> DataFrame:
     """``(id, fingerprint, component_id)`` of every row: the smallest id that links lead to.
 
-    Words stand between ASCII white space, A-Z count as a-z; shingles are runs of words, repeats included; a text
-    of fewer words is one shingle; one without words, or null, has the fingerprint zero and is linked like any
-    other.  Fingerprints link if at most ``radius`` bits differ.  With ``exact`` every such link is found; else
-    candidates share a key of sampled bits, which one in fifty or fewer of the links between texts of a similarity
-    of 0.8 does not; more rows get longer keys and more of them.
+    Words stand between ASCII white space, A-Z count as a-z; shingles are runs of words; a text of fewer words is
+    one shingle; one without words, or null, has the fingerprint zero.
+
+    With ``exact`` fingerprints link if at most ``radius`` bits differ, all such links are found, and repeated
+    shingles count each.  Else texts link if the Jaccard similarity of their sets of shingles is ``SIMILARITY`` or
+    more: fingerprints, of each shingle once, only find the candidates, by a shared key of sampled bits and at most
+    ``radius`` bits apart; each link is checked on the sets.
 
-    Equal fingerprints are one class before anything is compared, buckets of many classes are dealt out as pairs
-    of chunks, and a bucket gives no more links than it has rows.  Null ids take part but are nobody's smallest
-    id; a component of null ids only has a null one.  Repeated rows come out each; an empty table gives no rows.
+    Equal fingerprints, or sets, are one class before anything is compared, buckets of many classes are dealt out as
+    pairs of chunks, and a bucket gives no more links than it has rows.  Null ids take part but are nobody's
+    smallest id; a component of null ids only has a null one.  Repeated rows come out each; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
+    if not exact:
+        return _near_sets(docs, shingle_words, words64, radius, id_col, text_col)
     bits = 64 * words64
     rows = stage(fingerprints(docs, shingle_words, words64, id_col, text_col), "fingerprints")
     classes = stage(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "classes")
-    keys = covering_keys(bits, radius, classes.count()) if exact else sampled_keys(bits, radius, classes.count())
-    keyed = stage(_keyed(classes, keys, bits), "keyed")
+    keyed = stage(_keyed(classes, covering_keys(bits, radius, classes.count()), bits), "keyed")
     found = components(_forest(_dealt(keyed), bits, radius))
-    labelled = classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    labelled = stage(labelled.withColumn("root", F.coalesce("root", "fingerprint")), "labelled")
+    return _labelled(rows, classes, found, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+
+
+def _labelled(rows: DataFrame, classes: DataFrame, found: DataFrame, node: str) -> DataFrame:
+    """The rows with the smallest id of their component; classes that ``found`` lacks stand alone."""
+    labelled = classes.join(found.withColumnRenamed("node", node), node, "left")
+    labelled = stage(labelled.withColumn("root", F.coalesce("root", node)), "labelled")
     smallest = stage(labelled.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
-    member = stage(labelled.join(smallest, "root").select("fingerprint", "component_id"), "members")
-    return rows.join(member, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    member = stage(labelled.join(smallest, "root").select(node, "component_id"), "members")
+    return rows.join(member, node)
+
+
+def _near_sets(docs: DataFrame, shingle_words: int, words64: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` by the similarity of sets; a class is a set of shingles, known by its digest."""
+    bits = 64 * words64
+
+    def make(batch: pa.RecordBatch, packed: bool) -> pa.RecordBatch:
+        sets = [np.unique(_hashes(t, shingle_words)) for t in batch.column(1).to_pylist()]
+        made = [batch.column(0)] if not packed else []
+        made.append(pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()))
+        made.append(pa.array([s.tobytes() if packed else _majority(s, words64) for s in sets], pa.binary()))
+        return pa.RecordBatch.from_arrays(made, ["digest", "shingles"] if packed else ["id", "digest", "fingerprint"])
+
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
+    rows = stage(map_batches(texts, lambda b: make(b, False), f"id {ddl_type(docs, id_col)}, digest BINARY, fingerprint BINARY"), "fingerprints")
+    classes = stage(rows.groupBy("digest", "fingerprint").agg(F.min("id").alias("first_id")), "classes")
+    distinct = classes.select("fingerprint").distinct()
+    keyed = stage(_keyed(distinct, sampled_keys(bits, radius, distinct.count()), bits), "keyed")
+    near = components(_forest(_dealt(keyed), bits, radius)).withColumnRenamed("node", "fingerprint")
+    candidates = stage(classes.join(near, "fingerprint", "left").withColumn("bucket", F.coalesce("root", "fingerprint")).drop("root"), "candidates")
+    several = stage(candidates.groupBy("bucket").count().where("count > 1").select("bucket"), "several")
+    candidates = stage(candidates.join(several, "bucket"), "candidates")
+
+    # each set is made again of one text, or of few where an id is repeated
+    ids = candidates.select(F.col("first_id").alias("id")).where("id IS NOT NULL").distinct()
+    read = texts.join(ids, "id", "left_semi")
+    if not candidates.where("first_id IS NULL").isEmpty():
+        read = read.unionByName(texts.where("id IS NULL"))
+    sets = map_batches(read, lambda b: make(b, True), "digest BINARY, shingles BINARY").join(candidates.select("digest"), "digest", "left_semi")
+    sets = stage(sets.groupBy("digest").agg(F.max("shingles").alias("shingles")), "shingles")
+    held = stage(candidates.join(sets, "digest").select("bucket", "fingerprint", "digest", "shingles"), "candidate-sets")
+    sums = stage(held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.length("shingles")).alias("bytes")), "candidate-sums")
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)).cast("int")
+    dealt = _in_pairs(held.join(sums, "bucket"), chunks, ["fingerprint", "digest", "shingles"])
+    found = components(_verified(dealt, bits, radius, SIMILARITY))
+    return _labelled(rows, classes, found, "digest").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -148,3 +148,35 @@ def test_components(spark, links):
 def test_a_long_chain(spark):
     edges = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     assert {r["root"] for r in components.components(edges).collect()} == {0}
+
+
+def plain_groups(rows, similarity=0.8, n=5):
+    """The smallest id that a chain of pairs of similar sets of shingles leads to."""
+    sets, least = [], [d for d, _ in rows]
+    for _, t in rows:
+        words = t.lower().split()
+        sets.append({tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set())
+    near = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    while True:
+        before = list(least)
+        for a, b in near:
+            least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            return dict(zip([d for d, _ in rows], least))
+
+
+def test_links_are_checked_on_the_texts(spark, monkeypatch):
+    """Related but distinct texts stay: a family that shares two thirds, and texts that repeat one run of words."""
+    deal = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(20000)]
+    base, run = deal.choice(words, 400).tolist(), "all rights are reserved by the owner " * 60
+    rows = [(k, " ".join(base + deal.choice(words, 70).tolist())) for k in range(60)]
+    rows += [(100 + k, run + " ".join(deal.choice(words, 60))) for k in range(20)]
+    copies = [(200 + k, t + " copied") for k, (_, t) in enumerate(rows[::10])]
+    docs = spark.createDataFrame(rows + copies, "doc_id BIGINT, text STRING")
+    expected = plain_groups(rows + copies)
+    assert len(set(expected.values())) == len(rows)
+    for chunk, size in ((simhash.CHUNK, simhash.CHUNK_BYTES), (16, 1 << 14)):  # one chunk of a component, and many
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        monkeypatch.setattr(simhash, "CHUNK_BYTES", size)
+        assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == expected
