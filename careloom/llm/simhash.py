@@ -30,9 +30,11 @@ CHUNK_BYTES = 16 << 20
 PLANES_PER_STEP = 8
 # the same for buckets of sampled keys, of which more bits make many more keys
 SAMPLED_BUCKET = 512
-KEY_BITS = 16
-# share of the links between texts of this similarity that sampled keys may miss
-SIMILARITY, MISSED = 0.8, 0.02
+KEY_BITS = 14
+# share of the links between texts of this similarity that sampled keys may miss, at every size
+SIMILARITY, MISSED = 0.8, 0.0005
+# bits that candidates may differ in: 39 on average at that similarity, with a standard deviation of 6
+CANDIDATE_RADIUS = 60
 
 
 def _hashes(text: bytes | None, shingle_words: int) -> np.ndarray:
@@ -325,7 +327,7 @@ def _by_bucket(dealt: DataFrame, compare: Callable[[list, list[list[bytes]]], pa
 
 
 def near_duplicates(
-    docs: DataFrame, shingle_words: int = 5, words64: int = 4, radius: int = 44, exact: bool = False, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle_words: int = 5, words64: int = 4, radius: int = CANDIDATE_RADIUS, exact: bool = False, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(id, fingerprint, component_id)`` of every row: the smallest id that links lead to.
 

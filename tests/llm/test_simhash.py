@@ -180,3 +180,25 @@ def test_links_are_checked_on_the_texts(spark, monkeypatch):
         monkeypatch.setattr(simhash, "CHUNK", chunk)
         monkeypatch.setattr(simhash, "CHUNK_BYTES", size)
         assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == expected
+
+
+def test_pairs_around_the_limit(spark):
+    """All pairs of a similarity just above 0.8 are found, those just below are not, as by brute force."""
+    deal = np.random.default_rng(11)
+    words, rows = [f"w{k}" for k in range(50000)], []
+    for d in range(0, 600, 2):
+        n = int(deal.integers(100, 400))
+        text = deal.choice(words, n).tolist()
+        share = deal.uniform(0.77, 0.84)  # a tail of x other words: (n - 4 - x) / (n - 4 + x)
+        x = round((n - 4) * (1 - share) / (1 + share))
+        rows += [(d, " ".join(text)), (d + 1, " ".join(text[: n - x] + deal.choice(words, x).tolist()))]
+    expected = plain_groups(rows)
+    assert 100 < sum(least < d for d, least in expected.items()) < 250
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == expected
+
+
+@pytest.mark.parametrize("rows", [1000, 1 << 24, 1 << 33])
+def test_sampled_keys_miss_next_to_nothing_at_any_size(rows):
+    keys = simhash.sampled_keys(256, simhash.CANDIDATE_RADIUS, rows)
+    assert simhash.missed(256, simhash.CANDIDATE_RADIUS, len(keys[0]), len(keys)) <= 0.0005
