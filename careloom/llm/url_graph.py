@@ -11,7 +11,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # rules are written into the plan
 MOST_RULES = 5000
 DAMPING = 0.85
-ROUNDS = 8
+# the walk ends once less than this is in transit, of all seeds together: what follows is under 0.1% of the verdicts' limit
+TOLERANCE = 1e-5
+# rounds after which nothing that a double can tell is in transit, whatever the seeds
+ROUNDS = 256
+ROUNDS_PER_STAGE = 8
 # distrust above trust by this share of what a fully blocked host starts with
 THRESHOLD = 0.5
 
@@ -67,21 +71,31 @@ def _links(pages: DataFrame) -> DataFrame:
     return linked.unionByName(outer).unionByName(inner).groupBy("host", "to").agg(F.sum("w").alias("w"))
 
 
-def _rank(edges: DataFrame, seeds: DataFrame, rounds: int, name: str) -> DataFrame:
-    """Personalised PageRank ``(host, rank)`` along edges ``(host, to, w)`` from seeds ``(host, s)``; nothing without seeds.
+def _rank(edges: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame:
+    """Personalised PageRank ``(walk, host, rank)`` along edges ``(walk, host, to, w)`` from seeds ``(walk, host, s)``; nothing without seeds.
 
-    A round is a join with the edges and a sum with partial sums, written to the shared folder.
+    Ranks are summed up while less and less is in transit, until it is below ``TOLERANCE``.  A round is a join with
+    the edges, and each host's step to itself that keeps its rank, and a sum with partial sums; some rounds at a time
+    are written to the shared folder.
     """
-    out = edges.groupBy("host").agg(F.sum("w").alias("total"))
-    edges = stage(edges.join(out, "host").select("host", "to", (F.col("w") / F.col("total")).alias("w")), f"{name}-edges")
-    start = seeds.select("host", (F.col("s") * (1 - DAMPING)).alias("rank"))
-    ranks = seeds.select("host", F.col("s").alias("rank"))
+    node = ["walk", "host"]
+    start = F.col("s") * (1 - DAMPING)
+    ranks = seeds.select(*node, start.alias("rank"), start.alias("transit"))
     if edges.isEmpty():
-        return start
-    for _ in range(rounds):
-        moved = ranks.join(edges, "host").select(F.col("to").alias("host"), (F.col("rank") * F.col("w") * DAMPING).alias("rank"))
-        ranks = stage(moved.unionByName(start).groupBy("host").agg(F.sum("rank").alias("rank")), name)
-    return ranks
+        return ranks.drop("transit")
+    out = edges.groupBy(*node).agg(F.sum("w").alias("total"))
+    links = edges.join(out, node).select(*node, "to", (F.col("w") / F.col("total") * DAMPING).alias("w"), F.lit(0.0).alias("keep"))
+    hosts = seeds.select(*node).union(edges.select(*node)).union(edges.select("walk", "to")).distinct()
+    steps = stage(links.unionByName(hosts.select(*node, F.col("host").alias("to"), F.lit(0.0).alias("w"), F.lit(1.0).alias("keep"))), "steps")
+    moving = F.col("transit") * F.col("w")
+    for done in range(0, rounds, ROUNDS_PER_STAGE):
+        for _ in range(min(ROUNDS_PER_STAGE, rounds - done)):
+            moved = ranks.join(steps, node).select("walk", F.col("to").alias("host"), (F.col("rank") * F.col("keep") + moving).alias("rank"), moving.alias("transit"))
+            ranks = moved.groupBy(*node).agg(F.sum("rank").alias("rank"), F.sum("transit").alias("transit"))
+        ranks = stage(ranks, "ranks")
+        if (ranks.agg(F.sum("transit")).first()[0] or 0.0) < TOLERANCE:
+            break
+    return ranks.drop("transit")
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: int = ROUNDS, threshold: float = THRESHOLD, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -89,7 +103,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: int
 
     Rules ``(allow or block, host, path)`` decide what they fit, the longest first.  Other pages are judged by
     their host: a host's share of allowed pages seeds trust, which follows links, and its share of blocked pages
-    seeds distrust, which follows links backwards, both as personalised PageRank.  Links are those of the pages,
+    seeds distrust, which follows links backwards, both as personalised PageRank, until it no longer changes.  Links are those of the pages,
     and between a host and the host it is a subdomain of.  A host whose distrust exceeds its trust by
     ``threshold`` of what a wholly blocked host is given each round is blocked.  Only sums per host and per pair of
     hosts are shuffled.
@@ -106,10 +120,12 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: int
         F.avg(F.when(F.col("found.verdict") == "allow", 1.0).otherwise(0.0)).alias("allowed"), F.avg(F.when(F.col("found.verdict") == "block", 1.0).otherwise(0.0)).alias("blocked")
     )
     hosts = stage(hosts, "hosts")
-    trust = _rank(edges, hosts.where("allowed > 0").select("host", F.col("allowed").alias("s")), rounds, "trust")
-    back = edges.select(F.col("to").alias("host"), F.col("host").alias("to"), "w")
-    distrust = _rank(back, hosts.where("blocked > 0").select("host", F.col("blocked").alias("s")), rounds, "distrust")
-    scores = hosts.select("host").join(trust.withColumnRenamed("rank", "trust"), "host", "left").join(distrust.withColumnRenamed("rank", "distrust"), "host", "left")
+    seeds = hosts.select(F.explode(F.array(*[F.struct(F.lit(w).alias("walk"), "host", F.col(c).alias("s")) for w, c in (("trust", "allowed"), ("distrust", "blocked"))])).alias("seed"))
+    seeds = seeds.select("seed.*").where("s > 0")
+    back = edges.select(F.lit("distrust").alias("walk"), F.col("to").alias("host"), F.col("host").alias("to"), "w")
+    ranks = _rank(edges.select(F.lit("trust").alias("walk"), "host", "to", "w").unionByName(back), seeds, rounds)
+    walks = [F.sum(F.when(F.col("walk") == w, F.col("rank"))).alias(w) for w in ("trust", "distrust")]
+    scores = hosts.select("host").join(ranks.groupBy("host").agg(*walks), "host", "left")
     scores = stage(scores.na.fill(0.0, ["trust", "distrust"]), "scores")
     judged = ruled.select("id", "host", "path", "found").join(scores, "host", "left")
     bad = F.coalesce(F.col("distrust") - F.col("trust") > threshold * (1 - DAMPING), F.lit(False))

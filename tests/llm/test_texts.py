@@ -290,6 +290,22 @@ class TestUrls:
         verdicts = {p: v for p, _, _, _, v in got}
         assert verdicts[2] == "block" and verdicts[5] == verdicts[6] == verdicts[7] == "allow"
 
+    def test_ranks_are_those_of_the_walk_at_rest(self, spark):
+        """A chain of hosts to a blocked one, and a blocked host with five subdomains, against the solved equations."""
+        chain = [(k, f"http://h{k}.org/", f'<a href="http://h{k + 1}.org/">') for k in range(12)] + [(12, "http://h12.org/", None)]
+        star = [(20, "http://bad.io/", None)] + [(21 + k, f"http://s{k}.bad.io/", None) for k in range(5)]
+        pages = spark.createDataFrame(chain + star, "page_id BIGINT, url STRING, html STRING")
+        rules = [("block", "h12.org", "/"), ("block", "bad.io", "/"), *[("none", f"s{k}.bad.io", "/") for k in range(5)]]
+        got = {r["page_id"]: r for r in url_graph.judge_urls(pages, rules).collect()}
+        steps, seeds = np.zeros((19, 19)), np.zeros(19)  # the chain, then the star
+        seeds[[12, 13]] = 1 - url_graph.DAMPING
+        steps[range(12), range(1, 13)] = 1
+        steps[14:, 13], steps[13, 14:] = 1 / 5, 1
+        ranks = np.linalg.solve(np.eye(19) - url_graph.DAMPING * steps, seeds)
+        assert [got[k]["distrust"] for k in [*range(13), *range(20, 26)]] == pytest.approx(ranks.tolist(), abs=1e-4)
+        limit = url_graph.THRESHOLD * (1 - url_graph.DAMPING)
+        assert [got[k]["verdict"] for k in range(12)] == ["block" if ranks[k] > limit else "allow" for k in range(12)]
+
     def test_odd_tables(self, spark):
         pages = spark.createDataFrame([(1, "http://a.org", None, "x", "y")], "page_id BIGINT, url STRING, html STRING, host STRING, verdict STRING")
         assert self.found(url_graph.judge_urls(pages, [])) == [(1, "a.org", "", None, "allow")]
