@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careloom.llm import decontaminate, language, licenses, line_dedup, packing, quality_rules, simhash, token_counts, token_files, url_graph
+from careloom.llm import decontaminate, language, licenses, line_dedup, packing, quality_rules, ranked_search, simhash, token_counts, token_files, url_graph
 from careloom.llm.runtime import stage_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -94,11 +94,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+docs AS (SELECT doc_id, row, terms, len(terms) AS n FROM words WHERE len(terms) > 0),
+total AS (SELECT count(*) AS rows, sum(n)::BIGINT AS terms FROM docs),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+held AS (SELECT doc_id, row, n, term, count(*) AS tf FROM (SELECT doc_id, row, n, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * rows + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total),
+shares AS (SELECT doc_id, row, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * rows) // total.terms))) AS share FROM held JOIN weights USING (term), total),
+scores AS (SELECT item_id, doc_id, row, sum(share)::BIGINT AS score FROM asked JOIN shares USING (term) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 50
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_token_counts, op3_line_dedup, op4_window_packing, op5_benchmark_leaks, op6_license_scan,
-        op7_token_files, op8_language_id, op9_url_filter, op10_quality_rules,
+        op7_token_files, op8_language_id, op9_url_filter, op10_quality_rules, op11_ranked_search,
     )
 }
-ORACLES = {"op3_line_dedup": OP3_SQL}
+ORACLES = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL}
