@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careloom.llm import decontaminate, language, licenses, line_dedup, packing, quality_rules, ranked_search, simhash, token_counts, token_files, url_graph
+from careloom.llm import decontaminate, language, licenses, line_dedup, packing, quality_rules, ranked_search, simhash, token_counts, token_files, url_graph, warc
 from careloom.llm.runtime import stage_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -116,11 +116,25 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 """
 
 
+def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_pages(table(spark, sf_dir, "pages"), stage_path(spark, "archives"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP13_SQL = """
+WITH sizes AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS size FROM pages),
+firsts AS (SELECT page_id, payload, size, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first FROM sizes)
+SELECT page_id, size AS payload_bytes, sha256(payload) AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_token_counts, op3_line_dedup, op4_window_packing, op5_benchmark_leaks, op6_license_scan,
-        op7_token_files, op8_language_id, op9_url_filter, op10_quality_rules, op11_ranked_search,
+        op7_token_files, op8_language_id, op9_url_filter, op10_quality_rules, op11_ranked_search, op13_warc_archive,
     )
 }
-ORACLES = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL}
+ORACLES = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL, "op13_warc_archive": OP13_SQL}
