@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careloom.llm import decontaminate, language, licenses, line_dedup, packing, quality_rules, ranked_search, simhash, token_counts, token_files, url_graph, warc
+from careloom.llm import conversations, decontaminate, language, licenses, line_dedup, packing, quality_rules, ranked_search, simhash, token_counts, token_files, url_graph, warc
 from careloom.llm.runtime import stage_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -116,6 +116,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 """
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.Repairs(conversations.damaged(rows)).summary()
+    every = rows.select("conv_id").distinct()
+    joined = every.join(found.withColumnRenamed("conv_id", "id"), F.col("conv_id").eqNullSafe(F.col("id")), "left").drop("id")
+    joined = joined.na.fill(0, ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]).na.fill("", ["audit"])
+    return joined.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)))
+
+
 def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archive_pages(table(spark, sf_dir, "pages"), stage_path(spark, "archives"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -134,7 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_token_counts, op3_line_dedup, op4_window_packing, op5_benchmark_leaks, op6_license_scan,
-        op7_token_files, op8_language_id, op9_url_filter, op10_quality_rules, op11_ranked_search, op13_warc_archive,
+        op7_token_files, op8_language_id, op9_url_filter, op10_quality_rules, op11_ranked_search, op12_conversation_repair, op13_warc_archive,
     )
 }
 ORACLES = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL, "op13_warc_archive": OP13_SQL}
