@@ -34,8 +34,9 @@ ROOT_ARCHIVES = 100_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def url_key(url: Column) -> Column:
+def url_key(url: Column | str) -> Column:
     """The URL with its host reversed, ``com,example,www)/path?query``, so that a site's pages stand together; a null URL has ``)``."""
+    url = F.col(url) if isinstance(url, str) else url
     host = host_of(url)
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)$", 1)
     turned = F.array_join(F.reverse(F.split(host, r"\.")), ",")
