@@ -64,6 +64,13 @@ def ddl_type(df: DataFrame, column: str) -> str:
     return df.select(F.col(f"`{column}`")).schema[0].dataType.simpleString()
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply a function to every Arrow batch that has rows."""
 
