@@ -14,6 +14,7 @@ from careloom.llm.runtime import stage_path
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
+NEAR_SHINGLE_WORDS, NEAR_RADIUS = 4, 4
 WINDOW_TOKENS = 4096
 TOKEN_LIMIT = 512
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -28,8 +29,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(documents(spark, sf_dir), shingle_words=4, words64=1, radius=4, exact=True)
-    return found.withColumn("fingerprint", F.lower(F.hex("fingerprint")))
+    found = simhash.near_duplicates(documents(spark, sf_dir), NEAR_SHINGLE_WORDS, radius=NEAR_RADIUS)
+    return found.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

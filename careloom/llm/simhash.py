@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careloom.llm.components import components
 from careloom.llm.runtime import ddl_type, map_batches, prepare, stage, text_bytes, words_of
 
 SEED = 42
+# words of a shingle, 64-bit words of a fingerprint, and bits that linked fingerprints may differ in
+SHINGLE_WORDS, WORDS64, RADIUS = 4, 1, 4
 # shingles whose bits are summed at a time
 SUM_ROWS = 1 << 14
 # fingerprints of one bucket that are compared within one task; a larger bucket is dealt out as pairs of chunks
@@ -25,16 +26,7 @@ BUCKET = 64
 # rows compared in one go; whole buckets
 COMPARED_ROWS = 1 << 15
 COMPARED_BYTES = 32 << 20
-# shingles' hashes of one component of candidates that are compared within one task, in bytes; more are dealt out
-CHUNK_BYTES = 16 << 20
 PLANES_PER_STEP = 8
-# the same for buckets of sampled keys, of which more bits make many more keys
-SAMPLED_BUCKET = 512
-KEY_BITS = 14
-# share of the links between texts of this similarity that sampled keys may miss, at every size
-SIMILARITY, MISSED = 0.8, 0.0005
-# bits that candidates may differ in: 39 on average at that similarity, with a standard deviation of 6
-CANDIDATE_RADIUS = 60
 
 
 def _hashes(text: bytes | None, shingle_words: int) -> np.ndarray:
@@ -103,30 +95,6 @@ def covering_keys(bits: int, radius: int, rows: int) -> list[list[int]]:
     return [np.concatenate(chosen).tolist() for chosen in combinations(blocks, s)]
 
 
-def missed(bits: int, radius: int, key_bits: int, keys: int, similarity: float = SIMILARITY) -> float:
-    """Share of the pairs of a similarity and within the radius that no key of random bits is the same for."""
-    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    binomial = [math.comb(bits, d) * apart**d * (1 - apart) ** (bits - d) for d in range(radius + 1)]
-    alike = [math.comb(bits - d, key_bits) / math.comb(bits, key_bits) for d in range(radius + 1)]
-    return sum(w * (1 - s) ** keys for w, s in zip(binomial, alike)) / sum(binomial)
-
-
-def sampled_keys(bits: int, radius: int, rows: int) -> list[list[int]]:
-    """Keys of single bits dealt out at random, each bit once in a round.
-
-    More rows get longer keys, so that buckets stay small, and more of them, so that no more links are missed.
-    """
-    key_bits = KEY_BITS
-    while rows > SAMPLED_BUCKET << key_bits:
-        key_bits += 1
-    deal = np.random.default_rng(SEED)
-    keys: list[list[int]] = []
-    while not keys or missed(bits, radius, key_bits, len(keys)) > MISSED:
-        order = deal.permutation(bits)
-        keys += [order[i : i + key_bits].tolist() for i in range(0, bits - key_bits + 1, key_bits)]
-    return keys
-
-
 def _bits_of(fingerprints: list[bytes], bits: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(b"".join(fingerprints), np.uint8).reshape(-1, bits // 8), axis=1)
 
@@ -185,15 +153,14 @@ def _add(counters: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> n
     return carry
 
 
-def linked_rows(each: np.ndarray, left: np.ndarray, radius: int, alike: Callable[[int, int], bool] | None = None) -> np.ndarray:
+def linked_rows(each: np.ndarray, left: np.ndarray, radius: int) -> np.ndarray:
     """For each row the first row of its bucket that a chain of links within the radius leads to.
 
     ``each``: the rows' bits; ``left``: how many rows of its bucket follow a row.  Bit planes stand vertically: one
     word holds a bit of 64 rows.  For each lag, a plane differs from itself shifted by the lag where a row and the
     one so far behind it differ, and these differences are added up for all rows at once by carry-save counters in
     planes.  A counter starts so that the first difference too many overflows it, and blocks of 64 rows that have
-    all overflown are abandoned.  Rows that a chain joins already are not compared again.  With ``alike``, a link
-    has to pass it too.
+    all overflown are abandoned.  Rows that a chain joins already are not compared again.
     """
     rows, bits = each.shape
     root = np.arange(rows)
@@ -232,9 +199,6 @@ def linked_rows(each: np.ndarray, left: np.ndarray, radius: int, alike: Callable
         if alive.any():
             word, bit = np.nonzero(np.unpackbits(alive.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
             found = at[word] * 64 + bit
-            if alike:
-                found = found[root[found] != root[found + lag]]
-                found = found[[alike(k, k + lag) for k in found.tolist()]] if len(found) else found
             _join(root, found, found + lag)
     return root
 
@@ -262,35 +226,6 @@ def _forest(dealt: DataFrame, bits: int, radius: int) -> DataFrame:
     return _by_bucket(dealt, compare)
 
 
-def _verified(dealt: DataFrame, bits: int, radius: int, similarity: float) -> DataFrame:
-    """Links between digests whose fingerprints are within the radius and whose sets of shingles are that similar.
-
-    ``dealt``: a bucket holds a component of candidates, or a pair of its chunks.  The links span the chains.
-    """
-
-    def compare(buckets: list, rows: list[list[bytes]]) -> pa.RecordBatch:
-        found, digests, packed = rows
-        sets = [np.frombuffer(p, "<u8") for p in packed]
-        root = linked_rows(_bits_of(found, bits), _followers(buckets), radius, lambda a, b: _similar(sets[a], sets[b], similarity))
-        linked = np.flatnonzero(root != np.arange(len(found)))
-        pairs = [pa.array([digests[k] for k in rows], pa.binary()) for rows in (linked, root[linked])]
-        return pa.RecordBatch.from_arrays(pairs, ["a", "b"])
-
-    return _by_bucket(dealt, compare)
-
-
-def _similar(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
-    """Whether the Jaccard similarity of two sorted sets is at least so much; empty sets are alike."""
-    few, many = sorted((len(one), len(other)))
-    if few == many == 0:
-        return True
-    if few / many < similarity:
-        return False
-    both = np.sort(np.concatenate([one, other]), kind="stable")
-    shared = int(np.count_nonzero(both[1:] == both[:-1]))
-    return shared / (few + many - shared) >= similarity
-
-
 def _followers(buckets: list) -> np.ndarray:
     """How many rows of its bucket follow each row."""
     change = np.flatnonzero([True] + [x != y for x, y in zip(buckets[1:], buckets)])
@@ -326,88 +261,56 @@ def _by_bucket(dealt: DataFrame, compare: Callable[[list, list[list[bytes]]], pa
     return grouped.mapInArrow(run, "a BINARY, b BINARY")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle_words: int = 5, words64: int = 4, radius: int = CANDIDATE_RADIUS, exact: bool = False, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(id, fingerprint, component_id)`` of every row: the smallest id that links lead to.
-
-    Words stand between ASCII white space, A-Z count as a-z; shingles are runs of words; a text of fewer words is
-    one shingle; one without words, or null, has the fingerprint zero.
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, words64: int = WORDS64, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, fingerprint, component_id, root)`` of every row: the smallest id that links lead to, and the least fingerprint.
 
-    With ``exact`` fingerprints link if at most ``radius`` bits differ, all such links are found, and repeated
-    shingles count each.  Else texts link if the Jaccard similarity of their sets of shingles is ``SIMILARITY`` or
-    more: fingerprints, of each shingle once, only find the candidates, by a shared key of sampled bits and at most
-    ``radius`` bits apart; each link is checked on the sets.
+    Words stand between ASCII white space, A-Z count as a-z; shingles are runs of words, repeats included; a text of
+    fewer words is one shingle; one without words, or null, has the fingerprint zero.  Fingerprints link if at most
+    ``radius`` bits differ, and all such links are found.
 
-    Equal fingerprints, or sets, are one class before anything is compared, buckets of many classes are dealt out as
-    pairs of chunks, and a bucket gives no more links than it has rows.  Null ids take part but are nobody's
-    smallest id; a component of null ids only has a null one.  Repeated rows come out each; an empty table gives no rows.
+    Equal fingerprints are one class before anything is compared, buckets of many classes are dealt out as pairs of
+    chunks, and a bucket gives no more links than it has rows.  Null ids take part but are nobody's smallest id; a
+    component of null ids only has a null one.  Repeated rows come out each; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    if not exact:
-        return _near_sets(docs, shingle_words, words64, radius, id_col, text_col)
     bits = 64 * words64
     rows = stage(fingerprints(docs, shingle_words, words64, id_col, text_col), "fingerprints")
     classes = stage(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "classes")
     keyed = stage(_keyed(classes, covering_keys(bits, radius, classes.count()), bits), "keyed")
     found = components(_forest(_dealt(keyed), bits, radius))
-    return _labelled(rows, classes, found, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
-
-
-def _labelled(rows: DataFrame, classes: DataFrame, found: DataFrame, node: str) -> DataFrame:
-    """The rows with the smallest id of their component; classes that ``found`` lacks stand alone."""
-    labelled = classes.join(found.withColumnRenamed("node", node), node, "left")
-    labelled = stage(labelled.withColumn("root", F.coalesce("root", node)), "labelled")
+    # classes without links stand alone
+    labelled = classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    labelled = stage(labelled.withColumn("root", F.coalesce("root", "fingerprint")), "labelled")
     smallest = stage(labelled.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
-    member = stage(labelled.join(smallest, "root").select(node, "component_id"), "members")
-    return rows.join(member, node)
+    member = stage(labelled.join(smallest, "root").select("fingerprint", "component_id", "root"), "members")
+    return rows.join(member, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id", "root")
 
 
-def _near_sets(docs: DataFrame, shingle_words: int, words64: int, radius: int, id_col: str, text_col: str) -> DataFrame:
-    """``near_duplicates`` by the similarity of sets; a class is a set of shingles, known by its digest."""
-    bits = 64 * words64
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, words64: int = WORDS64, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``near_duplicates``, as it is: that with the smallest id, null ids last.
 
-    def make(batch: pa.RecordBatch, packed: bool) -> pa.RecordBatch:
-        sets = [np.unique(_hashes(t, shingle_words)) for t in batch.column(1).to_pylist()]
-        made = [batch.column(0)] if not packed else []
-        made.append(pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()))
-        made.append(pa.array([s.tobytes() if packed else _majority(s, words64) for s in sets], pa.binary()))
-        return pa.RecordBatch.from_arrays(made, ["digest", "shingles"] if packed else ["id", "digest", "fingerprint"])
-
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
-    rows = stage(map_batches(texts, lambda b: make(b, False), f"id {ddl_type(docs, id_col)}, digest BINARY, fingerprint BINARY"), "fingerprints")
-    classes = stage(rows.groupBy("digest", "fingerprint").agg(F.min("id").alias("first_id")), "classes")
-    distinct = classes.select("fingerprint").distinct()
-    keyed = stage(_keyed(distinct, sampled_keys(bits, radius, distinct.count()), bits), "keyed")
-    near = components(_forest(_dealt(keyed), bits, radius)).withColumnRenamed("node", "fingerprint")
-    candidates = stage(classes.join(near, "fingerprint", "left").withColumn("bucket", F.coalesce("root", "fingerprint")).drop("root"), "candidates")
-    several = stage(candidates.groupBy("bucket").count().where("count > 1").select("bucket"), "several")
-    candidates = stage(candidates.join(several, "bucket"), "candidates")
-
-    # each set is made again of one text, or of few where an id is repeated
-    ids = candidates.select(F.col("first_id").alias("id")).where("id IS NOT NULL").distinct()
-    read = texts.join(ids, "id", "left_semi")
-    if not candidates.where("first_id IS NULL").isEmpty():
-        read = read.unionByName(texts.where("id IS NULL"))
-    sets = map_batches(read, lambda b: make(b, True), "digest BINARY, shingles BINARY").join(candidates.select("digest"), "digest", "left_semi")
-    sets = stage(sets.groupBy("digest").agg(F.max("shingles").alias("shingles")), "shingles")
-    held = stage(candidates.join(sets, "digest").select("bucket", "fingerprint", "digest", "shingles"), "candidate-sets")
-    sums = stage(held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.length("shingles")).alias("bytes")), "candidate-sums")
-    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)).cast("int")
-    dealt = _in_pairs(held.join(sums, "bucket"), chunks, ["fingerprint", "digest", "shingles"])
-    found = components(_verified(dealt, bits, radius, SIMILARITY))
-    return _labelled(rows, classes, found, "digest").select(F.col("id").alias(id_col), "fingerprint", "component_id")
-
-
-def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, once each; rows without an id stay.
-
-    ``found``: what ``near_duplicates`` gave for them.  Rows that repeat an id are one document: one row stays.
+    Rows of one id may be in several components, and ids may be null: these rows are told apart by their own
+    fingerprints; of several that have a component's smallest id, one stays.  An empty table gives no rows.
     """
-    ids = stage(found.groupBy(id_col).agg(F.count("*").alias("n"), F.min("component_id").alias("first")), "ids")
-    kept = docs.join(stage(ids.where(F.col(id_col) > F.col("first")).select(id_col), "dropped"), id_col, "left_anti")
-    repeated = stage(ids.where(f"n > 1 AND `{id_col}` = first").select(id_col), "repeated")
-    if not repeated.isEmpty():
-        once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-        kept = kept.join(repeated, id_col, "left_anti").unionByName(once)
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    found = stage(near_duplicates(docs, shingle_words, words64, radius, id_col, text_col).withColumnRenamed(id_col, "id"), "found")
+    ids = stage(found.groupBy("id").agg(F.count("*").alias("n"), F.min("component_id").alias("first")), "ids")
+    kept, key = [f"c{k}" for k in range(len(docs.columns))], f"c{docs.columns.index(id_col)}"
+    plain = docs.toDF(*kept)
+    once = ids.where("n = 1 AND id IS NOT NULL AND id = first").select(F.col("id").alias(key))
+    out = plain.join(stage(once, "kept-ids"), key, "left_semi").select(kept)
+    odd = stage(ids.where("n > 1 OR id IS NULL").select("id"), "odd-ids")
+    if not odd.isEmpty():
+        texts = plain.join(odd, F.col(key).eqNullSafe(F.col("id")), "left_semi")
+
+        def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+            made = [fingerprint(t, shingle_words, words64) for t in batch.column(len(kept)).to_pylist()]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.binary())], [*kept, "fingerprint"])
+
+        schema = ", ".join(f"{c} {ddl_type(plain, c)}" for c in kept)
+        marked = map_batches(texts.select(*kept, text_bytes(kept[docs.columns.index(text_col)]).alias("bytes")), mark, f"{schema}, fingerprint BINARY")
+        firsts = found.join(odd, found["id"].eqNullSafe(odd["id"]), "left_semi").where("id = component_id OR (id IS NULL AND component_id IS NULL)")
+        firsts = stage(firsts.select("id", "fingerprint", "root").distinct(), "first-rows")
+        several = marked.join(firsts, ["fingerprint"]).where(F.col(key).eqNullSafe(F.col("id")))
+        place = F.row_number().over(Window.partitionBy("root").orderBy("fingerprint", F.xxhash64(kept[docs.columns.index(text_col)])))
+        out = out.unionByName(several.withColumn("place", place).where("place = 1").select(kept))
+    return out.toDF(*docs.columns)

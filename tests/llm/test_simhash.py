@@ -53,14 +53,38 @@ def test_query_against_brute_force(spark, docs):
 
 def test_odd_rows(spark, odd, none):
     rows = [(d, plain_fingerprint(t)) for d, t in pairs(odd)]
-    got = simhash.near_duplicates(odd, 4, 1, 4, True)
+    got = simhash.near_duplicates(odd)
     assert sorted(((r["doc_id"], r["fingerprint"].hex(), r["component_id"]) for r in got.collect()), key=repr) == plain_components(rows)
-    assert simhash.near_duplicates(none, 4, 1, 4, True).collect() == []
-    kept = simhash.keep_one(odd, simhash.near_duplicates(odd))
-    assert kept.columns == odd.columns
-    assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 4, 5, 7, 8, 9]
-    assert kept.where("doc_id IS NULL").count() == 2
-    assert simhash.keep_one(none, simhash.near_duplicates(none)).collect() == []
+    assert simhash.near_duplicates(none).collect() == []
+
+
+def one_of_each(rows):
+    """For each component of the rows' texts: its smallest id, null last, and the texts of that id in it."""
+    labelled = {}
+    for doc, text in rows:
+        labelled.setdefault((doc, plain_fingerprint(text)), set()).add(text)
+    groups = []
+    for doc, mark in sorted(labelled, key=lambda k: (k[0] is None, k[0] or 0)):
+        near = [g for g in groups if any((mark ^ m).bit_count() <= 4 for _, m in g)]
+        groups = [g for g in groups if g not in near] + [sum(near, []) + [(doc, mark)]]
+    out = []
+    for group in groups:
+        first = min(group, key=lambda k: (k[0] is None, k[0] or 0))[0]
+        out.append((first, set().union(*(labelled[k] for k in group if k[0] == first))))
+    return out
+
+
+def test_one_row_of_each_component_stays(spark, odd, none):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    more = [(3, a), (7, a), (7, b), (9, b), (None, c), (None, c), (None, "other words that nobody has"), (12, c + " end"), (12, c + " end"), (13, "one two"), (13, "three four")]
+    extra = spark.createDataFrame([(d, t, "n", "x") for d, t in more], odd.schema)
+    for docs in (odd, extra, odd.unionByName(extra).repartition(5)):
+        kept = simhash.keep_one(docs)
+        assert kept.schema == docs.schema
+        got, want = pairs(kept), one_of_each(pairs(docs))
+        assert len(got) == len(want)
+        assert all(any(d == first and t in texts for d, t in got) for first, texts in want)
+    assert simhash.keep_one(none).collect() == []
 
 
 @pytest.mark.parametrize("radius", [0, 1, 4, 7])
@@ -98,41 +122,16 @@ def test_keys_cover_the_radius(value, flips, rows):
     assert any((one[k] == two[k]).all() for k in simhash.covering_keys(64, 4, rows))
 
 
-@pytest.mark.parametrize("rows", [1000, 1 << 27, 1 << 33])
-def test_sampled_keys_miss_few_links_of_many_rows(rows):
-    keys = simhash.sampled_keys(256, 44, rows)
-    assert rows <= simhash.SAMPLED_BUCKET << len(keys[0]) and len({len(k) for k in keys}) == 1
-    apart = np.random.default_rng(7).random((6000, 256)) < np.arccos(1.6 / 1.8) / np.pi
-    apart = apart[apart.sum(1) <= 44]
-    missed = sum(all(row[k].any() for k in keys) for row in apart)
-    assert missed < 0.03 * len(apart)
-
-
 def test_large_buckets_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 16)
     monkeypatch.setattr(simhash, "COMPARED_ROWS", 8)
     chain = [(k, " ".join(f"w{j}" for j in range(k, k + 400))) for k in range(150)]
     docs = spark.createDataFrame(chain, "doc_id BIGINT, text STRING")
     rows = [(d, plain_fingerprint(t)) for d, t in chain]
-    got = simhash.near_duplicates(docs, 4, 1, 4, True)
+    got = simhash.near_duplicates(docs)
     assert sorted(((r["doc_id"], r["fingerprint"].hex(), r["component_id"]) for r in got.collect()), key=repr) == plain_components(rows)
 
 
-def test_wide_fingerprints_find_what_is_alike(spark):
-    deal = np.random.default_rng(7)
-    words = [f"w{k}" for k in range(5000)]
-    rows, alike = [], {}
-    for d in range(0, 120, 2):
-        text = deal.choice(words, 600).tolist()
-        rows.append((d, " ".join(text)))
-        for k in deal.choice(600, 5, replace=False):  # about 0.92 of the five-word shingles stay alike
-            text[k] = "changed"
-        rows.append((d + 1, " ".join(text)))
-    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
-    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
-    assert got == {d: d - d % 2 for d, _ in rows}
-
-
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components(spark, links):
@@ -148,57 +147,3 @@ def test_components(spark, links):
 def test_a_long_chain(spark):
     edges = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     assert {r["root"] for r in components.components(edges).collect()} == {0}
-
-
-def plain_groups(rows, similarity=0.8, n=5):
-    """The smallest id that a chain of pairs of similar sets of shingles leads to."""
-    sets, least = [], [d for d, _ in rows]
-    for _, t in rows:
-        words = t.lower().split()
-        sets.append({tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set())
-    near = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
-    while True:
-        before = list(least)
-        for a, b in near:
-            least[a] = least[b] = min(least[a], least[b])
-        if least == before:
-            return dict(zip([d for d, _ in rows], least))
-
-
-def test_links_are_checked_on_the_texts(spark, monkeypatch):
-    """Related but distinct texts stay: a family that shares two thirds, and texts that repeat one run of words."""
-    deal = np.random.default_rng(3)
-    words = [f"w{k}" for k in range(20000)]
-    base, run = deal.choice(words, 400).tolist(), "all rights are reserved by the owner " * 60
-    rows = [(k, " ".join(base + deal.choice(words, 70).tolist())) for k in range(60)]
-    rows += [(100 + k, run + " ".join(deal.choice(words, 60))) for k in range(20)]
-    copies = [(200 + k, t + " copied") for k, (_, t) in enumerate(rows[::10])]
-    docs = spark.createDataFrame(rows + copies, "doc_id BIGINT, text STRING")
-    expected = plain_groups(rows + copies)
-    assert len(set(expected.values())) == len(rows)
-    for chunk, size in ((simhash.CHUNK, simhash.CHUNK_BYTES), (16, 1 << 14)):  # one chunk of a component, and many
-        monkeypatch.setattr(simhash, "CHUNK", chunk)
-        monkeypatch.setattr(simhash, "CHUNK_BYTES", size)
-        assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == expected
-
-
-def test_pairs_around_the_limit(spark):
-    """All pairs of a similarity just above 0.8 are found, those just below are not, as by brute force."""
-    deal = np.random.default_rng(11)
-    words, rows = [f"w{k}" for k in range(50000)], []
-    for d in range(0, 600, 2):
-        n = int(deal.integers(100, 400))
-        text = deal.choice(words, n).tolist()
-        share = deal.uniform(0.77, 0.84)  # a tail of x other words: (n - 4 - x) / (n - 4 + x)
-        x = round((n - 4) * (1 - share) / (1 + share))
-        rows += [(d, " ".join(text)), (d + 1, " ".join(text[: n - x] + deal.choice(words, x).tolist()))]
-    expected = plain_groups(rows)
-    assert 100 < sum(least < d for d, least in expected.items()) < 250
-    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
-    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == expected
-
-
-@pytest.mark.parametrize("rows", [1000, 1 << 24, 1 << 33])
-def test_sampled_keys_miss_next_to_nothing_at_any_size(rows):
-    keys = simhash.sampled_keys(256, simhash.CANDIDATE_RADIUS, rows)
-    assert simhash.missed(256, simhash.CANDIDATE_RADIUS, len(keys[0]), len(keys)) <= 0.0005
