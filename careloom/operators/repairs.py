@@ -1,4 +1,4 @@
-"""Row repairs that need no parent table."""
+"""Row repairs that need no parent table.  Each judges a row once; its results are read off that."""
 
 from __future__ import annotations
 
@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 from careloom.functions.dates import days_before
 from careloom.operators.keys import left_join_grouped
-from careloom.operators.result import Result
-
-
-MOST_PATTERNS = 1000
+from careloom.operators.patterns import text_hits
+from careloom.operators.result import DROPPED, RENEWED, TOUCHED, Result, from_judged
 
 
 def copy_when_null(df: DataFrame, field: str, other: str) -> Result:
-    return Result(
-        good=df.withColumn(field, F.coalesce(field, other)),
-        rejects=df.where(F.col(field).isNull()),
-    )
+    judged = df.withColumns({TOUCHED: F.col(field).isNull(), RENEWED + field: F.coalesce(field, other)})
+    return from_judged(judged, df.columns)
 
 
 def delete_when_null(df: DataFrame, field: str) -> Result:
-    return Result(good=df.where(F.col(field).isNotNull()), rejects=df.where(F.col(field).isNull()))
+    return _dropped(df, F.col(field).isNull(), df.columns)
+
+
+def _dropped(df: DataFrame, test: Column, columns: list[str]) -> Result:
+    """Rows that pass the test go."""
+    hit = F.coalesce(test, F.lit(False))
+    return from_judged(df.select(*columns, hit.alias(TOUCHED), hit.alias(DROPPED)), columns)
 
 
 def invalid_to_null(df: DataFrame, field: str, valueset: DataFrame, item: str = "VALUESET_ITEM") -> Result:
@@ -29,46 +31,25 @@ def invalid_to_null(df: DataFrame, field: str, valueset: DataFrame, item: str =
     valid = valueset.select(F.trim(item).alias("__item")).distinct().withColumn("__valid", F.lit(True))
     joined = left_join_grouped(df, valid, F.col(field), "__item")
     outside = F.col("__valid").isNull() & F.col(field).isNotNull()
-    return Result(
-        good=joined.withColumn(field, F.when(F.col("__valid"), F.col(field))).select(*df.columns),
-        rejects=joined.where(outside).select(*df.columns),
-    )
+    judged = joined.select(*df.columns, outside.alias(TOUCHED), F.when(F.col("__valid"), F.col(field)).alias(RENEWED + field))
+    return from_judged(judged, df.columns)
 
 
 def clamp_early_date(df: DataFrame, field: str, anchor: str = "ADMIT_DATE", days: int = 5) -> Result:
     """A date more than ``days`` before the anchor becomes the anchor."""
-    early = days_before(F.col(anchor).cast("string"), F.col(field).cast("string")) > days
-    return Result(
-        good=df.withColumn(field, F.when(early, F.col(anchor)).otherwise(F.col(field))),
-        rejects=df.where(early),
-    )
+    early = F.coalesce(days_before(F.col(anchor).cast("string"), F.col(field).cast("string")) > days, F.lit(False))
+    judged = df.withColumns({TOUCHED: early, RENEWED + field: F.when(early, F.col(anchor)).otherwise(F.col(field))})
+    return from_judged(judged, df.columns)
 
 
 def remove_listed(df: DataFrame, column: str, codes: DataFrame) -> Result:
     """Drop rows whose code is in a one-column list; rows without a code stay."""
-    listed = codes.select(F.col(codes.columns[0]).alias("__code"))
-    test = F.col(column) == F.col("__code")
-    return Result(good=df.join(listed, test, "left_anti"), rejects=df.join(listed, test, "left_semi"))
+    listed = codes.select(F.col(codes.columns[0]).alias("__code")).distinct().withColumn("__listed", F.lit(True))
+    joined = left_join_grouped(df, listed, F.col(column), "__code")
+    return _dropped(joined, F.col("__listed"), df.columns)
 
 
 def remove_patterns(df: DataFrame, column: str, patterns: DataFrame) -> Result:
-    """Drop rows whose text contains a listed text, whatever its case; rows without text stay.
-
-    The list becomes one quoted regular expression inside Spark, so the table is
-    read once with a plain filter and nothing is compared pair by pair.  Every text of
-    the list is tried on every row: the list is meant to have tens of texts, and one of
-    more than ``MOST_PATTERNS`` is refused.
-    """
-    if patterns.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} texts to remove")
-    hit = F.coalesce(F.rlike(column, one_pattern(patterns)), F.lit(False))
-    return Result(good=df.where(~hit), rejects=df.where(hit))
-
-
-def one_pattern(patterns: DataFrame) -> Column:
-    text = F.col(patterns.columns[0])
-    # a text that holds the closing mark of a quotation is quoted around it
-    quoted = F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    joined = F.array_join(F.sort_array(F.collect_set(quoted)), "|")
-    listed = patterns.where(text != "")
-    return listed.agg(F.concat(F.lit("(?iu)(?:"), F.nullif(joined, F.lit("")), F.lit(")")).alias("p")).scalar()
+    """Drop rows whose text contains a listed text, whatever its case; rows without text stay.  See ``text_hits``."""
+    joined, hit = text_hits(df, column, patterns)
+    return _dropped(joined, hit, df.columns)

@@ -18,6 +18,7 @@ from careloom.operators.history import merge_history
 from careloom.operators.lookup import remap_ids
 from careloom.operators.merge import union_all
 from careloom.operators.profile import date_columns, monthly_counts, value_profile
+from careloom.operators.result import TOUCHED
 from careloom.plans import chains, mapping, pcornet
 from careloom.sinks.stage import write_rejects, write_stage
 from careloom.sources.files import read_stage
@@ -97,8 +98,8 @@ def run_batch(
 
         def settle(df: DataFrame, name: str, table: str = table) -> DataFrame:
             path = f"{batch.path('fixing', table)}/{name}"
-            write_stage(df, path)
-            return read_stage(spark, path)
+            write_stage(df, path, by=TOUCHED if TOUCHED in df.columns else None)
+            return read_stage(spark, path, df.schema)
 
         good, results = chains.run_chain(mapped[table], usable, chains.Context(fixed, batch.lists), settle)
         write_stage(good, batch.path("fixed", table))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -112,15 +113,15 @@ def run_chain(
 ) -> tuple[DataFrame, dict[str, Result]]:
     """The repaired table, and what each step touched.
 
-    Without ``settle`` all is one lazy plan.  What a step touched is computed from the table before it, so whoever
-    reads that for every step gives a ``settle`` that writes a table under a name and reads it back: each repair then
-    runs once, where it would run again for every later step.
+    Without ``settle`` all is one lazy plan.  What a step touched is read off the rows that it judged, so whoever reads
+    that for every step gives a ``settle`` that writes a table under a name and reads it back: each repair then runs
+    once, and its good rows, rejects and report come from that table.
     """
     results: dict[str, Result] = {}
     for number, s in enumerate(steps):
-        if settle and number:
-            df = settle(df, f"{number}_{steps[number - 1].name}")
         result = FIXES[s.fix](df, context, **dict(s.options))
+        if settle:
+            result = result.settle(functools.partial(settle, name=f"{number}_{s.name}"))
         results[s.name] = result
         df = result.good
     return df, results

@@ -6,7 +6,8 @@ for the session's own catalog.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 
 from careloom.operators import schema as sch
 from careloom.operators.merge import PRIMARY_KEYS, missing_tables, upsert_keep_new
+from careloom.session import batch_folder
+from careloom.sinks.stage import stage_widths, write_measured_stage
 
 # Fixed value: the table never merged.
 NEVER_MERGED = ("HARVEST",)
@@ -49,30 +52,35 @@ def prepare(df: DataFrame, fields: list[tuple[str, str]], widths: Mapping[str, i
     return sch.apply_schema(df, sch.table_schema(fields, sch.observed_widths(df) if widths is None else dict(widths)))
 
 
-def _widest(columns: Sequence[str], *tables: DataFrame) -> dict[str, int]:
-    """Widths that hold for the rows of several tables."""
-    seen = [sch.observed_widths(t) for t in tables]
-    return {c: max(w.get(c, 0) for w in seen) for c in columns if any(c in w for w in seen)}
+def _staged(df: DataFrame, folder: str | None) -> tuple[DataFrame, dict[str, int]]:
+    """The table written once, with the widths seen on the way."""
+    path = f"{folder or batch_folder(df.sparkSession, 'loads')}/{uuid.uuid4().hex}"
+    widths = write_measured_stage(df, path)
+    return df.sparkSession.read.parquet(path), widths
 
 
-def replace_table(df: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]]) -> None:
-    save(_dealt(prepare(df, fields), target), target, target.name(batch, table))
+def replace_table(df: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]], folder: str | None = None) -> None:
+    """Load a table with the widths of its texts.  Widths come before rows, so the rows are staged in ``folder``: their plan runs once."""
+    staged, widths = _staged(df, folder)
+    save(_dealt(prepare(staged, fields, widths), target), target, target.name(batch, table))
+
+
+def load_stage(spark: SparkSession, path: str, target: Target, batch: str, table: str, fields: list[tuple[str, str]]) -> None:
+    """Load a measured stage."""
+    save(_dealt(prepare(spark.read.parquet(path), fields, stage_widths(spark, path)), target), target, target.name(batch, table))
 
 
 def merge_table(
-    df: DataFrame, existing: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]]
+    df: DataFrame, existing: DataFrame, target: Target, batch: str, table: str, fields: list[tuple[str, str]], folder: str | None = None
 ) -> None:
-    """Load the batch together with the rows the warehouse has and the batch does not.
+    """Load the batch together with the rows the warehouse has and the batch does not, with the widths of what is left.
 
-    Widths are those of the two inputs, so that the rows are merged once, for the load; they may exceed those of
-    the merged rows where the widest row gave way to a new one.
+    A merge asks for the batch's keys and rows, so the batch is staged before it; the merged rows are made once.
     """
-    if table in NEVER_MERGED:
-        merged, widths = df, None
-    else:
-        merged = upsert_keep_new(existing, df, PRIMARY_KEYS[table])
-        widths = _widest(merged.columns, existing, df)
-    save(_dealt(prepare(merged, fields, widths), target), target, target.name(f"{batch}_merged", table))
+    staged, widths = _staged(df, folder)
+    if table not in NEVER_MERGED:
+        staged, widths = _staged(upsert_keep_new(existing, staged, PRIMARY_KEYS[table]), folder)
+    save(_dealt(prepare(staged, fields, widths), target), target, target.name(f"{batch}_merged", table))
 
 
 def all_text(df: DataFrame) -> DataFrame:

@@ -86,9 +86,9 @@ def read_variants(spark: SparkSession, path: str | Sequence[str], layouts: Seque
     return read_layout(spark, path, choose_layout(spark, path, layouts))
 
 
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    """A table that an earlier stage wrote."""
-    return spark.read.parquet(path)
+def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table that an earlier stage wrote; one that was dealt to folders needs its schema."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def read_code_list(spark: SparkSession, path: str, header: bool = False) -> DataFrame:

@@ -520,6 +520,29 @@ def _(t: Inputs):
     return _patterned(t).rejects
 
 
+WORTH = "SELECT o_orderkey, 'Customer ' || o_custkey || ' worth ' || CAST(floor(o_totalprice) AS BIGINT) AS text FROM orders"
+LISTED_WORTH = "SELECT DISTINCT 'MER ' || o_custkey || ' Worth ' || CAST(floor(o_totalprice / 10000) AS BIGINT) AS p FROM orders WHERE o_orderstatus = 'F'"
+WORTH_HIT = f"EXISTS (SELECT 1 FROM ({LISTED_WORTH}) WHERE contains(lower(text), lower(p)))"
+
+
+def _long_list(t: Inputs):
+    """As many texts to remove as there are finished orders."""
+    worth = "CAST(floor({}) AS BIGINT)"
+    texts = t.orders.selectExpr("o_orderkey", f"concat('Customer ', o_custkey, ' worth ', {worth.format('o_totalprice')}) AS text")
+    listed = t.orders.where("o_orderstatus = 'F'").selectExpr(f"concat('MER ', o_custkey, ' Worth ', {worth.format('o_totalprice / 10000')}) AS p")
+    return repairs.remove_patterns(texts, "text", listed.distinct())
+
+
+@query("pattern_remove_large", f"SELECT * FROM ({WORTH}) WHERE NOT {WORTH_HIT}")
+def _(t: Inputs):
+    return _long_list(t).good
+
+
+@query("pattern_remove_large_rejects", f"SELECT * FROM ({WORTH}) WHERE {WORTH_HIT}")
+def _(t: Inputs):
+    return _long_list(t).rejects
+
+
 @query(
     "predicate_suite",
     "SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_quantity > 25 THEN 'many' ELSE 'few' END AS size FROM lineitem "

@@ -1,13 +1,14 @@
 """Operators on small fixtures, with the edges that matter."""
 
 import collections
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from careloom.operators import codes, coverage, dedup, history, lookup, merge, orphans, profile, project, repairs, route, schema
+from careloom.operators import codes, coverage, dedup, history, lookup, merge, orphans, patterns, profile, project, repairs, route, schema
 from careloom.operators.collapse import collapse_first
 from careloom.plans import mapping
 from careloom.sources import reference
@@ -86,6 +87,27 @@ class TestRepairs:
         assert rows(r.good) == [("fine",), ("x.y",), (None,)]
         assert rows(r.rejects) == [("a Q\\e b",), ("a[b",), ("see client/phone # 5",)]
 
+    @pytest.mark.parametrize("tried", [1000, 2, 0])
+    def test_long_lists_find_what_short_ones_find(self, spark, monkeypatch, tried):
+        """Whatever the length at which a list is indexed, also where letters match beyond ASCII."""
+        monkeypatch.setattr(patterns, "MOST_TRIED", tried)
+        texts = ["Kelvin \u212aELVIN", "d\u0131ng", "D\u0130NGO", "mi\u017fs it", "stra\u00dfe STRASSE", "\u03a3\u03af\u03c3\u03c5\u03c6\u03bf\u03c2", "abc", "ab", "a.b*c?d", "x\\Ey\\Qz", "\U0001f600abc\U0001f600def", "", None, "abc", "line\nbreak here"]
+        listed = ["kelvin k", "DING", "dingo", "MISS", "STRASSE", "\u03c3\u03af\u03c3\u03c5\u03c6\u03bf\u03c3", "b", ".b*C", "\\ey\\q", "\U0001f600ABC\U0001f600", "NE\nBR", "", None, "nothing has this"]
+        df = spark.createDataFrame(list(enumerate(texts)), "n INT, t STRING")
+        for few in (listed, listed[:3], listed[6:7], ["ab"], ["kkkk", "issb"]):
+            r = repairs.remove_patterns(df, "t", spark.createDataFrame([(p,) for p in few], "p STRING"))
+            hit = {n for n, t in enumerate(texts) if t and any(p and re.search(re.escape(p), t, re.I) for p in few)}
+            # the engine's rule for sigma and dotless i is that of single characters, as here
+            assert {x[0] for x in r.rejects.collect()} == hit
+            assert sorted(x[0] for x in r.good.collect()) == [n for n in range(len(texts)) if n not in hit]
+
+    def test_a_hundred_thousand_patterns(self, spark):
+        numbers = spark.range(200_000).select(F.concat(F.lit("Item No. "), F.col("id").cast("string"), F.lit(" of the list")).alias("t"))
+        listed = spark.range(0, 1_000_000, 10).select(F.concat(F.lit("NO. "), F.col("id").cast("string"), F.lit(" of")).alias("p"))
+        r = repairs.remove_patterns(numbers, "t", listed)
+        assert (r.good.count(), r.rejects.count()) == (180_000, 20_000)
+        assert r.rejects.where("NOT t LIKE '%0 of %'").isEmpty()
+
     def test_no_patterns_remove_nothing(self, spark):
         df = spark.createDataFrame([("a",), (None,)], "t STRING")
         assert repairs.remove_patterns(df, "t", spark.createDataFrame([], "p STRING")).good.count() == 2

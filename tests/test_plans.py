@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from careloom.operators import dedup, orphans, profile
+from careloom.operators import dedup, orphans, patterns, profile, repairs
 from careloom.operators.history import merge_history
 from careloom.operators.lookup import lookup, zip_to_ruca
 from careloom.operators.repairs import invalid_to_null
+from careloom.operators.result import TOUCHED
 from careloom.plans import chains
 from careloom.sources.reference import stage_vocabulary
 from tests.conftest import SMALL
@@ -88,16 +89,37 @@ def test_a_settled_chain_runs_each_repair_once(spark, tmp_path):
         "PROVIDER": ids.where("n % 3 > 0").select(F.col("n").alias("PROVIDERID")),
     }
 
+    written = {}
+
     def settle(df, name):
-        df.write.parquet(str(tmp_path / name))
-        return spark.read.parquet(str(tmp_path / name))
+        written[name] = plan(df)
+        df.write.partitionBy(TOUCHED).parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
 
     lazy, once = (chains.run_chain(rows, chains.CHAINS["DIAGNOSIS"], chains.Context(tables), s) for s in (None, settle))
     assert lazy[0].exceptAll(once[0]).isEmpty() and once[0].exceptAll(lazy[0]).isEmpty()
+    assert len(written) == len(once[1]) == 4
+    assert [len(re.findall(r"Join \[", p)) for p in written.values()] == [1] * 4
     for name, result in once[1].items():
-        touched, before = (r.rejects if r.report is None else r.report for r in (result, lazy[1][name]))
-        assert len(re.findall(r"Join \[", plan(touched))) == 1
-        assert touched.exceptAll(before).isEmpty() and before.exceptAll(touched).isEmpty()
+        assert "Join" not in plan(result.good) + plan(result.rejects)
+        # rejects and report read the folder of the touched rows only
+        assert re.search(r"PartitionFilters: \[.*__touched", plan(result.rejects))
+        for part in ("rejects", "report"):
+            touched, before = getattr(result, part), getattr(lazy[1][name], part)
+            if touched is not None:
+                assert touched.exceptAll(before).isEmpty() and before.exceptAll(touched).isEmpty()
+
+
+def test_a_hot_gram_is_split(big_cluster, monkeypatch):
+    """A third of the texts hold the listed text's only gram, another third one and the same text."""
+    monkeypatch.setattr(patterns, "MOST_TRIED", 0)
+    i = F.col("id")
+    text = F.when(i % 3 == 0, F.concat(F.lit("abcd"), i.cast("string"))).when(i % 3 == 1, F.lit("same text")).otherwise(i.cast("string"))
+    df = big_cluster.range(0, 90_000, 1, 8).select(text.alias("T"), i.alias("V"))
+    listed = big_cluster.createDataFrame([("ABCD",), ("me TE",), ("nowhere",)], "p STRING")
+    result = repairs.remove_patterns(df, "T", listed)
+    assert result.good.count() == 30_000 and result.rejects.count() == 60_000
+    assert "skew=true" in run_plan(result.good)
 
 
 @pytest.mark.parametrize("operator", ["valid codes", "zip"])

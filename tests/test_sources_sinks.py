@@ -107,6 +107,13 @@ def test_stage_and_export(spark, tmp_path):
     assert files.read_stage(spark, f"{tmp_path}/u").count() == 6
 
 
+def test_widths_are_seen_while_a_stage_is_written(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, 100), ("bcd", None, 5)], "T STRING, NOTHING STRING, N INT")
+    seen = stage.write_measured_stage(df, f"{tmp_path}/m")
+    assert seen == stage.stage_widths(spark, f"{tmp_path}/m") == schema.observed_widths(df) == {"T": 3, "NOTHING": 1, "N": 3}
+    assert stage.write_measured_stage(df.limit(0), f"{tmp_path}/e") == {"T": 1, "NOTHING": 1, "N": 1}
+
+
 class TestWarehouse:
     fields = [("PATID", "RDBMS Text(x)"), ("DEATH_DATE", "RDBMS Date"), ("DEATH_SOURCE", "RDBMS Text(2)")]
 
@@ -125,6 +132,28 @@ class TestWarehouse:
         assert rows(merged.select("PATID", F.col("DEATH_DATE").cast("string"))) == [("1", "2020-01-01"), ("2", "2020-02-02"), ("3", "2020-03-03")]
         assert "q1_death" in {r["tableName"] for r in warehouse.list_tables(spark, "cdm").collect()}
 
+    @pytest.mark.parametrize("merged", [False, True])
+    def test_loads_run_their_plan_once(self, spark, tmp_path, merged):
+        """Each row of the input is made once, and the widths are those of its rows."""
+        spark.sql("CREATE SCHEMA IF NOT EXISTS once")
+        count = spark.sparkContext.accumulator(0)
+
+        def tick(batches):
+            for batch in batches:
+                count.add(batch.num_rows)
+                yield batch
+
+        df = self.df(spark, ("1", "2020-01-01", "L"), ("22", "2020-01-02", "Long")).mapInArrow(tick, "PATID STRING, DEATH_DATE STRING, DEATH_SOURCE STRING")
+        target = load.Target(prefix="once.")
+        if merged:
+            load.merge_table(df, self.df(spark, ("333", "2020-01-03", "L")), target, "b", "DEATH", self.fields, str(tmp_path))
+        else:
+            load.replace_table(df, target, "b", "DEATH", self.fields, str(tmp_path))
+        assert count.value == 2
+        loaded = warehouse.read_table(spark, "once.b_merged_DEATH" if merged else "once.b_DEATH")
+        assert loaded.count() == 2 + merged
+        assert loaded.schema["DEATH_SOURCE"].metadata["maxlength"] == 4
+
     def test_missing_tables_are_created_empty(self, spark):
         spark.sql("CREATE SCHEMA IF NOT EXISTS gaps")
         spark.sql("CREATE TABLE IF NOT EXISTS gaps.vital (HT DOUBLE) USING parquet")
