@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from careloom.llm.runtime import prepare, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# rules are written into the plan
+# rules that are written into the plan; more of them are a table that hosts are joined with
 MOST_RULES = 5000
 DAMPING = 0.85
 # the walk ends once less than this is in transit, of all seeds together: what follows is under 0.1% of the verdicts' limit
@@ -30,22 +30,40 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _suffixes(host: Column) -> Column:
+    labels = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+
+
+def ruled(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """The rows with ``found``, see ``rule_of``.
+
+    More than ``MOST_RULES`` rules are a table: each different host and path is joined with the rules of its host's
+    suffixes, and the rows with what was found; a host or path that very many rows have is grouped before it is joined.
+    """
+    if len(rules) <= MOST_RULES:
+        return pages.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
+    table = pages.sparkSession.createDataFrame(sorted(set(rules)), "verdict STRING, suffix STRING, start STRING")
+    places = pages.select("host", "path").distinct().withColumn("suffix", F.explode(_suffixes(F.col("host"))))
+    fitting = places.join(stage(table, "rules"), "suffix").where(F.startswith("path", "start"))
+    rule = F.struct((F.length("suffix") + F.length("start")).alias("length"), F.concat("suffix", "start").alias("rule"), "verdict")
+    found = stage(fitting.groupBy("host", "path").agg(F.max(rule).alias("found")), "ruled")
+    return pages.join(found, ["host", "path"], "left")
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """The longest of the rules ``(verdict, host, path)`` that fit, as a struct of length, rule and verdict; else null.
 
     A rule fits its host and all subdomains if the path starts with the rule's path.  Only the host's own
     suffixes are looked up, so the number of rules hardly matters.  Equal lengths: the later rule by name.
     """
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
     by_host: dict[str, list[tuple[str, str]]] = {}
     for verdict, rule_host, rule_path in rules:
         by_host.setdefault(rule_host, []).append((rule_path, verdict))
     if not by_host:
         return F.lit(None).cast("struct<length: int, rule: string, verdict: string>")
     held = F.create_map(*[x for h, own in by_host.items() for x in (F.lit(h), F.array(*[F.struct(F.lit(p).alias("path"), F.lit(v).alias("verdict")) for p, v in own]))])
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    suffixes = _suffixes(host)
     fitting = F.flatten(
         F.transform(
             F.filter(suffixes, lambda s: F.map_contains_key(held, s)),
@@ -58,15 +76,28 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return F.array_max(fitting)
 
 
+def domain_of(host: Column) -> Column:
+    """The last two labels of a host of more, which stand for its registered domain; else, and for an address of numbers, empty."""
+    return F.when(F.rlike(host, F.lit(r"\.\d+(:\d+)?$")), F.lit("")).otherwise(F.regexp_extract(host, r"^(?s:.+)\.([^.]+\.[^.]+)$", 1))
+
+
 def _links(pages: DataFrame) -> DataFrame:
-    """Weighted links between different hosts: those of the pages, and between a host and the one it is a part of."""
-    target = F.explode(F.regexp_extract_all(F.col("html"), F.lit(r"(?i)href\s*=\s*[\"']((?:https?:)?//[^\"'\s>]+)"), F.lit(1)))
-    linked = pages.where("html LIKE '%//%' AND host <> ''").select("host", target.alias("url"))
-    linked = linked.select("host", host_of(F.concat(F.lit("x:"), F.regexp_replace("url", "^[a-zA-Z]*:", ""))).alias("to"))
-    linked = linked.where("`to` <> '' AND `to` <> host").groupBy("host", "to").agg(F.count("*").cast("double").alias("w"))
-    hosts = pages.where("host <> ''").select("host").distinct()
-    outer = hosts.select("host", F.regexp_extract("host", r"^[^.]+\.(.+)$", 1).alias("to")).join(hosts.select(F.col("host").alias("to")), "to", "left_semi")
-    outer = outer.select("host", "to", F.lit(1.0).alias("w"))
+    """Weighted links between different hosts: those of the pages, and both ways between a host and its domain.
+
+    A page's relative links lead to the host of its ``<base>``, if it has one.  The domain need not have pages: it is
+    where the hosts of one site meet.
+    """
+    link = r"(?i)href\s*=\s*[\"']((?:https?:)?//[^\"'\s>]+)"
+    plain = F.col("html").isNotNull() & (F.col("host") != "")
+    target = F.explode(F.regexp_extract_all(F.col("html"), F.lit(link), F.lit(1)))
+    linked = pages.where(plain & F.contains("html", F.lit("//"))).select("host", target.alias("url"), F.lit(1).alias("n"))
+    based = pages.where(plain & F.rlike("html", F.lit("(?i)<base\\s"))).select(
+        "host", F.regexp_extract("html", r"(?i)<base\s[^>]*?" + link.removeprefix("(?i)"), 1).alias("url"), F.regexp_count("html", F.lit(r"(?i)href\s*=\s*[\"'](?![a-z]+:|//|#)[^\"'\s>]")).alias("n")
+    )
+    linked = linked.unionByName(based.where("url <> '' AND n > 0"))
+    linked = linked.select("host", host_of(F.concat(F.lit("x:"), F.regexp_replace("url", "^[a-zA-Z]*:", ""))).alias("to"), "n")
+    linked = linked.where("`to` <> '' AND `to` <> host").groupBy("host", "to").agg(F.sum("n").cast("double").alias("w"))
+    outer = pages.where("host <> ''").select("host").distinct().select("host", domain_of(F.col("host")).alias("to"), F.lit(1.0).alias("w")).where("`to` <> ''")
     inner = outer.select(F.col("to").alias("host"), F.col("host").alias("to"), "w")
     return linked.unionByName(outer).unionByName(inner).groupBy("host", "to").agg(F.sum("w").alias("w"))
 
@@ -103,8 +134,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: int
 
     Rules ``(allow or block, host, path)`` decide what they fit, the longest first.  Other pages are judged by
     their host: a host's share of allowed pages seeds trust, which follows links, and its share of blocked pages
-    seeds distrust, which follows links backwards, both as personalised PageRank, until it no longer changes.  Links are those of the pages,
-    and between a host and the host it is a subdomain of.  A host whose distrust exceeds its trust by
+    seeds distrust, which follows links backwards, both as personalised PageRank, until it no longer changes.  Links are
+    those of the pages, and between a host and its domain, where the hosts of one site meet.  A host whose distrust exceeds its trust by
     ``threshold`` of what a wholly blocked host is given each round is blocked.  Only sums per host and per pair of
     hosts are shuffled.
 
@@ -114,9 +145,9 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: int
     prepare(pages.sparkSession)
     url = F.col(f"`{url_col}`").cast("string")
     parts = pages.select(F.col(f"`{id_col}`").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"), F.col(f"`{html_col}`").cast("string").alias("html"))
-    ruled = parts.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
+    judged_by_rule = ruled(parts.drop("html"), rules)
     edges = stage(_links(parts), "links")
-    hosts = ruled.where("host <> ''").groupBy("host").agg(
+    hosts = judged_by_rule.where("host <> ''").groupBy("host").agg(
         F.avg(F.when(F.col("found.verdict") == "allow", 1.0).otherwise(0.0)).alias("allowed"), F.avg(F.when(F.col("found.verdict") == "block", 1.0).otherwise(0.0)).alias("blocked")
     )
     hosts = stage(hosts, "hosts")
@@ -127,7 +158,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: int
     walks = [F.sum(F.when(F.col("walk") == w, F.col("rank"))).alias(w) for w in ("trust", "distrust")]
     scores = hosts.select("host").join(ranks.groupBy("host").agg(*walks), "host", "left")
     scores = stage(scores.na.fill(0.0, ["trust", "distrust"]), "scores")
-    judged = ruled.select("id", "host", "path", "found").join(scores, "host", "left")
+    judged = judged_by_rule.select("id", "host", "path", "found").join(scores, "host", "left")
     bad = F.coalesce(F.col("distrust") - F.col("trust") > threshold * (1 - DAMPING), F.lit(False))
     verdict = F.coalesce(F.col("found.verdict"), F.when(bad, "block").otherwise("allow"))
     return judged.select(F.col("id").alias(id_col), "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

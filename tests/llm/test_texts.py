@@ -283,9 +283,14 @@ def plain_urls(rows, rules):
             to = lower(re.match(r"(?:https?:)?//([^/?#]*)", link, re.I)[1])
             if to and to != host:
                 edges[host, to] = edges.get((host, to), 0) + 1
+        base = re.search(r"""<base\s[^>]*?href\s*=\s*["']((?:https?:)?//[^"'\s>]+)""", html or "", re.I)
+        to = base and lower(re.match(r"(?:https?:)?//([^/?#]*)", base[1], re.I)[1])
+        relative = len(re.findall(r"""href\s*=\s*["'](?![a-z]+:|//|#)[^"'\s>]""", html or "", re.I))
+        if host and to and to != host and relative:
+            edges[host, to] = edges.get((host, to), 0) + relative
     for h in hosts:
-        outer = h.partition(".")[2]
-        if outer in hosts:
+        outer = ".".join(h.split(".")[-2:])
+        if outer != h and not re.search(r"\.\d+(:\d+)?$", h):
             edges[h, outer] = edges.get((h, outer), 0) + 1
             edges[outer, h] = edges.get((outer, h), 0) + 1
         own = [p[4] for p in parts if p[1] == h]
@@ -308,7 +313,25 @@ class TestUrls:
 
     def test_query(self, spark):
         rows = [(r["page_id"], r["url"], r["html"]) for r in queries.table(spark, SMALL, "pages").collect()]
-        assert self.found(queries.op9_url_filter(spark, SMALL)) == plain_urls(rows, queries.URL_RULES)
+        got = self.found(queries.op9_url_filter(spark, SMALL))
+        assert got == plain_urls(rows, queries.URL_RULES)
+        # some verdicts come from the walk
+        assert {v for _, _, _, rule, v in got if rule is None} == {"allow", "block"}
+
+    def test_more_rules_than_a_plan_holds(self, spark, monkeypatch):
+        pages = queries.table(spark, SMALL, "pages")
+        rules = queries.URL_RULES + [("block", f"host{k}.example", f"/{k}") for k in range(50)]
+        few = self.found(url_graph.judge_urls(pages, rules))
+        monkeypatch.setattr(url_graph, "MOST_RULES", 10)
+        assert self.found(url_graph.judge_urls(pages, rules)) == few
+
+    def test_siblings_meet_in_their_domain_and_bases_count(self, spark):
+        rows = [(k, f"http://s{k}.bad.net/es/", None) for k in range(4)] + [(10, "http://new.bad.net/de/", None), (11, "http://1.2.3.4/", None), (12, "http://9.9.3.4/es/", None)]
+        rows += [(20, "http://mirror.org/", '<base target="x" href="http://s1.bad.net/"><a href="a">'), (21, "http://plain.org/", '<base href="http://s1.bad.net/"><a href="#a"> <a href="http://plain.org/b">')]
+        pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+        got = self.found(url_graph.judge_urls(pages, queries.URL_RULES))
+        assert got == plain_urls(rows, queries.URL_RULES)
+        assert {p: v for p, _, _, _, v in got}[20] == "block"
 
     def test_links_spread(self, spark):
         bad, good = "http://a.net/es/1", "http://B.com/x"
