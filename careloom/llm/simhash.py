@@ -296,8 +296,9 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, words64: int =
     ids = stage(found.groupBy("id").agg(F.count("*").alias("n"), F.min("component_id").alias("first")), "ids")
     kept, key = [f"c{k}" for k in range(len(docs.columns))], f"c{docs.columns.index(id_col)}"
     plain = docs.toDF(*kept)
-    once = ids.where("n = 1 AND id IS NOT NULL AND id = first").select(F.col("id").alias(key))
-    out = plain.join(stage(once, "kept-ids"), key, "left_semi").select(kept)
+    # mostly the fewer ids
+    gone = ids.where("id IS NOT NULL AND (n > 1 OR id <> first)").select(F.col("id").alias(key))
+    out = plain.where(F.col(key).isNotNull()).join(stage(gone, "gone"), key, "left_anti").select(kept)
     odd = stage(ids.where("n > 1 OR id IS NULL").select("id"), "odd-ids")
     if not odd.isEmpty():
         texts = plain.join(odd, F.col(key).eqNullSafe(F.col("id")), "left_semi")
