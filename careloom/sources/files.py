@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from careloom.operators.result import DROPPED, TOUCHED, Result, from_judged
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -40,6 +42,31 @@ def read_delimited(
     return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in df.columns])
 
 
+BAD_RECORD, FILE = "_corrupt_record", "__file"
+
+
+def read_checked(spark: SparkSession, path: str | Sequence[str], sep: str = "\t", *, blank_is_null: bool = True) -> Result:
+    """``read_delimited`` with lines of too few or too many fields kept apart instead of being padded or cut.
+
+    ``good`` has the other rows; ``rejects`` the fields that could be read of a bad line, its ``file`` and the whole
+    ``record``; the report counts bad lines per file.  Every line is in one of both.  Settled, files are parsed once.
+    """
+    header = _reader(spark, sep).load(path).schema
+    names = [f.name for f in header]
+    if {BAD_RECORD, FILE} & set(names):
+        raise ValueError(f"{path} has a column named {BAD_RECORD} or {FILE}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD_RECORD]])
+    # with fewer columns asked for, the parser would not look at the others, nor miss them
+    options = {"enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD, "columnPruning": False}
+    df = _reader(spark, sep).schema(text).options(**options).load(path)
+    # asks for a field as well, since a plan that asks for the record only is refused
+    bad = F.col(BAD_RECORD).isNotNull() & F.coalesce(F.length(F.col(f"`{names[0]}`")) >= 0, F.lit(True))
+    fields = [F.col(f"`{n}`") if blank_is_null else F.coalesce(F.col(f"`{n}`"), F.when(~bad, F.lit(""))).alias(n) for n in names]
+    judged = df.select(*fields, BAD_RECORD, F.col("_metadata.file_path").alias(FILE), bad.alias(TOUCHED), bad.alias(DROPPED))
+    counted = lambda touched: touched.groupBy(F.col(FILE).alias("file")).agg(F.count(F.lit(1)).alias("count"))
+    return from_judged(judged, names, {FILE: "file", BAD_RECORD: "record"}, counted)
+
+
 def _reader(spark: SparkSession, sep: str):
     options = {"header": True, "inferSchema": False, "sep": sep, "quote": '"', "escape": '"', "multiLine": False}
     return spark.read.format("csv").options(**options)

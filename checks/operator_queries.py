@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import job_sql
@@ -10,8 +12,11 @@ from careloom.functions import clinical, dates, ids, numbers, text
 from careloom.operators import claims, codes, coverage, history, lookup, merge, orphans, profile, project, repairs, route, schema
 from careloom.operators.collapse import collapse_first
 from careloom.operators.dedup import dedup, last_per_key
+from careloom.operators.result import TOUCHED
 from careloom.plans import batch, chains
-from careloom.sources import reference
+from careloom.session import batch_folder
+from careloom.sinks.stage import write_stage
+from careloom.sources import files, reference
 
 # --- de-duplication ---------------------------------------------------------------
 
@@ -1192,3 +1197,38 @@ _BYTE = "((instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1) * 16 + instr(
 )
 def _(t: Inputs):
     return t.customer.select("c_custkey", ids.pseudonym(F.col("c_name"), "ABC", "seed", "xor").alias("id"))
+
+
+def _delivered(t: Inputs):
+    """Orders as a partner's tab-separated files, some lines of which lack a field or have one too many."""
+    short, long_ = F.col("o_orderkey") % 50 == 0, F.col("o_orderkey") % 50 == 1
+    fields = [F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderpriority")]
+    line = F.concat_ws("\t", *fields[:2], F.when(~short, fields[2]), F.when(long_, F.lit("more")))
+    folder = f"{batch_folder(t.spark, 'delivered')}/{uuid.uuid4().hex}"
+    # the header of the only column is that of the three fields
+    t.orders.select(line.alias("ORDER\tCUSTOMER\tPRIORITY")).write.options(header=True, sep="\x01", quote="").csv(folder)
+    checked = files.read_checked(t.spark, folder)
+
+    def settle(df):
+        write_stage(df, f"{folder}-checked", by=TOUCHED)
+        return files.read_stage(t.spark, f"{folder}-checked", df.schema)
+
+    return checked.settle(settle)
+
+
+ORDER_LINE = """SELECT o_orderkey % 50 AS fault, CAST(o_orderkey AS VARCHAR) AS "ORDER", CAST(o_custkey AS VARCHAR) AS CUSTOMER, o_orderpriority AS PRIORITY FROM orders"""
+
+
+@query("checked_lines", f"SELECT * EXCLUDE (fault) FROM ({ORDER_LINE}) WHERE fault NOT IN (0, 1)")
+def _(t: Inputs):
+    return _delivered(t).good
+
+
+@query(
+    "checked_lines_rejects",
+    "SELECT \"ORDER\", CUSTOMER, CASE WHEN fault = 1 THEN PRIORITY END AS PRIORITY, "
+    "concat_ws(chr(9), \"ORDER\", CUSTOMER, CASE WHEN fault = 1 THEN PRIORITY || chr(9) || 'more' END) AS record "
+    f"FROM ({ORDER_LINE}) WHERE fault IN (0, 1)",
+)
+def _(t: Inputs):
+    return _delivered(t).rejects.drop("file")

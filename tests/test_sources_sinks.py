@@ -33,6 +33,30 @@ def test_glob_of_files_is_one_table(spark, tmp_path):
     assert rows(files.read_delimited(spark, f"{tmp_path}/Death*", ",").select("id")) == [("1",), ("2",)]
 
 
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    """Short, long and unclosed lines of several files, each once, with their file; good rows as ever."""
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", 'A,B,C\n1,"x,y",3\n1,2\n,,\n1,2,3,4\n')
+    write(tmp_path / "in" / "b.csv", 'A,B,C\n"open,2,3\n7,8,9\n')
+    checked = files.read_checked(spark, f"{tmp_path}/in/*.csv", ",")
+    written = []
+
+    def settle(df):
+        written.append(df)
+        stage.write_stage(df, f"{tmp_path}/checked", by="__touched")
+        return files.read_stage(spark, f"{tmp_path}/checked", df.schema)
+
+    for result in (checked, checked.settle(settle)):
+        assert rows(result.good) == sorted([("1", "x,y", "3"), (None, None, None), ("7", "8", "9")], key=repr)
+        assert result.good.select("B").where("B = '8'").count() == 1  # one column only
+        found = [(r["file"].rsplit("/")[-1], r["record"]) for r in result.rejects.collect()]
+        assert sorted(found) == [("a.csv", "1,2"), ("a.csv", "1,2,3,4"), ("b.csv", '"open,2,3')]
+        assert sorted((r["file"].rsplit("/")[-1], r["count"]) for r in result.report.collect()) == [("a.csv", 2), ("b.csv", 1)]
+    assert len(written) == 1
+    empty = files.read_checked(spark, write(tmp_path / "e.csv", "A,B\n"), ",", blank_is_null=False)
+    assert empty.good.columns == ["A", "B"] and empty.good.count() == empty.rejects.count() == 0
+
+
 def test_header_only_file_is_an_empty_table(spark, tmp_path):
     df = files.read_delimited(spark, write(tmp_path / "e.txt", "id\tv\n"))
     assert df.columns == ["id", "v"] and df.count() == 0
