@@ -137,14 +137,23 @@ class TestCodes:
         entries = {"a": "AA", "B": "", "c": None} | {f"k{i}": f"v{i}" for i in range(n)}
         return reference.code_map(spark, {("T", "F"): entries, ("T", "F_UNIT"): {"mg": "MG", "Mg": "MEGA"}})
 
-    @pytest.mark.parametrize("n", [3, 500])
-    def test_inline_and_joined_dictionaries_agree(self, spark, n):
+    @pytest.mark.parametrize("n, most", [(3, 100_000), (500, 100_000), (500, 100)])
+    def test_inline_and_joined_dictionaries_agree(self, spark, n, most, monkeypatch):
+        monkeypatch.setattr(codes, "BROADCAST_ENTRIES", most)
         df = spark.createDataFrame([("A",), ("b",), ("C",), ("K1",), ("zz",), (None,)], "F STRING")
         mapped = codes.map_codes(df, self.code_map(spark, n), "T", ["F"])
         assert rows(mapped) == sorted([("AA",), ("",), ("C",), ("v1",), ("zz",), (None,)], key=repr)
         strict = codes.map_codes(df, self.code_map(spark, n), "T", ["F"], "strict")
         assert rows(strict) == sorted([("AA",), ("",), (None,), ("v1",), (None,), (None,)], key=repr)
 
+    def test_sizes_and_small_entries_are_read_in_two_jobs(self, spark):
+        fields = ["F", "F_UNIT", "G"]
+        stored = self.code_map(spark, 100)
+        assert codes.dictionary_sizes(stored, "T", fields) == {"F": (103, 585), "F_UNIT": (2, 10)}
+        small = codes.small_dictionaries(stored, "T", ["F_UNIT"], {"F_UNIT"})
+        assert small == {"F_UNIT": {"mg": "MG", "Mg": "MEGA"}}
+        assert codes.small_dictionaries(stored, "T", [], set()) == {}
+
     def test_units_keep_their_case(self, spark):
         df = spark.createDataFrame([("mg",), ("Mg",), ("MG",)], "F_UNIT STRING")
         got = codes.map_codes(df, self.code_map(spark), "T", ["F_UNIT"], case_sensitive=["F_UNIT"])

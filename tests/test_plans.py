@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from careloom.operators import dedup, orphans, patterns, profile, repairs
+from careloom.operators import codes, dedup, orphans, patterns, profile, repairs
 from careloom.operators.history import merge_history
 from careloom.operators.lookup import lookup, zip_to_ruca
 from careloom.operators.repairs import invalid_to_null
@@ -122,11 +122,15 @@ def test_a_hot_gram_is_split(big_cluster, monkeypatch):
     assert "skew=true" in run_plan(result.good)
 
 
-@pytest.mark.parametrize("operator", ["valid codes", "zip"])
-def test_a_hot_key_is_split_in_lookups_of_lists(big_cluster, operator):
+@pytest.mark.parametrize("operator", ["valid codes", "zip", "codes"])
+def test_a_hot_key_is_split_in_lookups_of_lists(big_cluster, operator, monkeypatch):
     df, up = hot(big_cluster), parents(big_cluster)
+    monkeypatch.setattr(codes, "BROADCAST_BYTES", 100)
     if operator == "zip":
         made = zip_to_ruca(df, up.select(F.col("K").alias("ZIPCode"), F.lit("1").alias("PrimaryRUCA")), "K")
+    elif operator == "codes":
+        entries = up.select(F.lit("T").alias("table"), F.lit("K").alias("field"), F.col("K").alias("source_value"), F.lit("x").alias("target_value"))
+        made = codes.map_codes(df, entries, "T", ["K"], "strict")
     else:
         made = invalid_to_null(df, "K", up, "K").good
     assert "skew=true" in run_plan(made)
