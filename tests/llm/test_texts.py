@@ -251,6 +251,41 @@ class TestLanguage:
         untaught = language.fit(none.withColumn("lang", F.lit("x")))
         assert {r["lang_pred"] for r in language.identify(odd, untaught).collect()} == {"und"}
 
+    def test_learned_counts_against_counting(self, spark):
+        rows = [(k, t, l) for k, (t, l) in enumerate([("the dog", "en"), ("a cat", "en"), ("der hund", "de"), (None, "de"), ("x", None)])]
+        model = language.fit(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING"))
+        counts = np.zeros((language.BUCKETS + 1, 2))
+        for _, t, l in rows:
+            if t and l:
+                for grams in language.buckets_of(np.append([32], np.append(language.letters_of(t), [32, 32, 32, 32])).astype(np.uint32)):
+                    np.add.at(counts[:, ["de", "en"].index(l)], grams, 1)
+        smooth = counts[:-1] + language.SMOOTHING
+        assert np.allclose(model.table[:-1], np.log(smooth / smooth.sum(0)))
+        assert np.allclose(model.prior, np.log([1 / 3, 2 / 3]))
+
+    def test_more_languages_than_are_held_at_once(self, spark, odd, monkeypatch):
+        deal = np.random.default_rng(2)
+        taught = spark.createDataFrame([(k, " ".join(deal.choice(list("abcdefgh"[k % 5 :]), 30)), f"l{k % 5}") for k in range(60)], "doc_id BIGINT, text STRING, lang STRING")
+        asked = odd.unionByName(taught.select("doc_id", "text"), allowMissingColumns=True)
+
+        def results(model):
+            found = language.identify(asked, model, keep=("text",)).collect()
+            kept = language.keep_identified(asked, model).select("doc_id", "text").collect()
+            return sorted(((r[0], r[3], r[1], round(r[2], 9)) for r in found), key=repr), sorted(map(tuple, kept), key=repr)
+
+        whole = results(language.fit(taught))
+        monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 2)
+        blocks = language.fit(taught)
+        assert [m.languages for m in blocks] == [["l0", "l1"], ["l2", "l3"], ["l4"]]
+        assert results(blocks) == whole
+
+    def test_rows_without_ids_are_sampled(self, spark):
+        taught = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+        model = language.fit(taught.withColumn("text", F.translate("text", "0123456789", "abcdefghij")), 300)
+        grams = np.exp(model.table[:-1, 0])
+        # about 300 of 3,000 different texts: far from all two- and three-letter endings occur
+        assert 0 < (grams > grams.min() * 1.5).sum() < 1000
+
 
 def plain_rule(url, rules):
     host, path = "", ""
