@@ -4,12 +4,14 @@ A date that cannot be read becomes NULL; nothing here raises on bad text.
 
 The layouts that occur everywhere are recognised by their shape, rewritten as ISO
 text and cast.  That costs a match and a cast per value; trying parser patterns one
-after the other costs an exception for every one that fails.
+after the other costs an exception for every one that fails.  A text of none of these
+shapes is read by its parts: names, clock and numbers are told apart and put in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ TIME_FORMATS = ("H:mm:ss", "H:mm")
 ANY_FORMATS = (
     "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyyMMdd", "yyyyMMdd HHmmss", "yyyy/M/d",
     "M-d-yyyy", "M/d/yy", "M/d/yy (1900)", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "d MMM yyyy", "d-MMM-yyyy", "dMMMyyyy", "MMM d, yyyy",
+    "by its parts",
 )
 
 # Stand-in date for an unusable one, and the day the DRG system changed.
@@ -58,6 +61,68 @@ _PARSED: dict[str, str] = {
     "MMM d, yyyy": "[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}",
 }
 
+BY_PARTS = "by its parts"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTH = f"(?:{'|'.join(_MONTHS)})"
+_N, _YEAR, _END, _SEP = "[0-9]{1,2}", "([0-9]{4})", "(?![0-9:])[, ]*", "[-/., ]+"
+_TIME = f"{_N}:[0-9]{{2}}:[0-9]{{2}}(?: [ap]m)?+"
+_NO_MONTH = "1[3-9]|2[0-9]|3[01]"
+# Rewritings, one after the other, of a text in lower case into "year-month-day h:m:s am"; the month may be a name.
+_PARTS = (
+    # words that carry nothing: days of the week, "of", endings of ordinals
+    ("(?<![a-z])(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?(?![a-z])[., ]*", ""),
+    ("(?<=[ ,])(?:of|at|on) ", ""),
+    ("(?<=[0-9])(?:st|nd|rd|th)(?![a-z])", ""),
+    # month names by their first three letters
+    (f"(?<![a-z])({_MONTH})(?:(?<=jan)uary|(?<=feb)ruary|(?<=mar)ch|(?<=apr)il|(?<=jun)e|(?<=jul)y|(?<=aug)ust|(?<=sep)t(?:ember)?|"
+     "(?<=oct)ober|(?<=nov|dec)ember)?(?![a-z])", " $1 "),
+    # the clock: halves of the day, whole hours, "T", digits without colons, fractions, zones, seconds
+    ("([0-9]) ?([ap])[.]?m(?![a-z])[.]?", "$1 $2m"),
+    (f"(?<![:0-9./-])({_N}) ([ap]m)", "$1:00 $2"),
+    ("(?<=[0-9])t(?=[0-9])", " "),
+    ("^([0-9]{8}) ?([0-9]{2})([0-9]{2})([0-9]{2})(?![0-9])", "$1 $2:$3:$4"),
+    ("^([0-9]{8}) ?([0-9]{2})([0-9]{2})(?![0-9])", "$1 $2:$3"),
+    ("(:[0-9]{2})[.,][0-9]+", "$1"),
+    ("(:[0-9]{2}|[ap]m) ?(?:z|utc|gmt|[ecmp][sd]t|[+-][0-9]{2}:?(?:[0-9]{2})?)(?= |$)", "$1"),
+    (f"(?<![:0-9])({_N}:[0-9]{{2}})(?![:0-9])", "$1:00"),
+    # the clock goes last
+    (f"^ *({_TIME})[, ]+(.+)$", "$2 $1"),
+    (f"^(.+?) ({_TIME}) ([0-9]{{4}}) *$", "$1 $3 $2"),
+    # the day: digits without separators, years of two digits, then by what can only be a year, a month or a day
+    ("^ *([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9])", "$1-$2-$3"),
+    (f"^ *((?:{_N}|{_MONTH}){_SEP}(?:{_N}|{_MONTH}){_SEP})'?([0-5][0-9]|6[0-8])(?![0-9:])", "$120$2"),
+    (f"^ *((?:{_N}|{_MONTH}){_SEP}(?:{_N}|{_MONTH}){_SEP})'?(69|[7-9][0-9])(?![0-9:])", "$119$2"),
+    (f"^ *{_YEAR}{_SEP}({_N}|{_MONTH}){_SEP}({_N}){_END}", "$1-$2-$3 "),
+    (f"^ *({_NO_MONTH}){_SEP}(0?[1-9]|1[0-2]){_SEP}{_YEAR}{_END}", "$3-$2-$1 "),
+    (f"^ *({_N}){_SEP}({_MONTH}){_SEP}{_YEAR}{_END}", "$3-$2-$1 "),
+    (f"^ *({_N}|{_MONTH}){_SEP}({_N}){_SEP}{_YEAR}{_END}", "$3-$1-$2 "),
+)
+_ORDERED = f"^([0-9]{{4}})-({_N}|{_MONTH})-({_N})(?: +({_N}):([0-9]{{2}}):([0-9]{{2}})(?: ([ap])m)?)? *$"
+
+
+def read_parts(text: Column, clock_alone: bool = False) -> Column:
+    """Wall-clock time of a text whose parts tell which is which, in any usual order; NULL where one is missing.
+
+    Month before day where both could be either; zones and fractions of a second are dropped.  ``clock_alone`` takes
+    a time without a day too.  The rewritings are bound by lambdas: only texts that get here pay for them, and the
+    code generated for a table with many dates stays small.
+    """
+    tidy = lambda t: reduce(lambda x, step: F.regexp_replace(x, *step), _PARTS, F.lower(t))
+    day = lambda t: F.when(t.rlike(f"^ *{_TIME} *$"), F.concat(F.lit("1970-1-1 "), t)).otherwise(t) if clock_alone else t
+
+    def ordered(t: Column) -> Column:
+        part = lambda k: F.regexp_extract(t, _ORDERED, k)
+        number = lambda k: F.coalesce(part(k).try_cast("int"), F.lit(0))
+        month = F.when(part(2).rlike("[a-z]"), ((F.instr(F.lit("".join(_MONTHS)), part(2)) + 2) / 3).cast("int")).otherwise(number(2))
+        half = part(7)
+        hour = F.when(half == "", number(4)).when(number(4).between(1, 12), number(4) % 12 + F.when(half == "p", 12).otherwise(0))
+        return F.when(part(1) != "", F.try_make_timestamp_ntz(number(1), month, number(3), hour, number(5), number(6)))
+
+    steps = F.array(text)
+    for step in (tidy, day, ordered):
+        steps = F.transform(steps, step)
+    return F.when(text.rlike("[0-9]"), steps[0])
+
 
 def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
     """Wall-clock time of a text in one of the formats; other formats are Spark patterns.
@@ -76,7 +141,9 @@ def parse_datetime(c: Column, formats: Sequence[str] = DATETIME_FORMATS) -> Colu
             iso = iso.when(text.rlike(f"^{shape}$"), F.regexp_replace(text, f"^{shape}$", rewrite))
     others = []
     for f in formats:
-        if f not in _SHAPES:
+        if f == BY_PARTS:
+            others.append(read_parts(text, clock_alone="H:mm" in formats))
+        elif f not in _SHAPES:
             parsed = F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz")
             others.append(F.when(text.rlike(f"^{_PARSED[f]}$"), parsed) if f in _PARSED else parsed)
     return F.coalesce(iso.try_cast("timestamp_ntz"), *others)

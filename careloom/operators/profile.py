@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careloom.functions.dates import month_bucket, parse_datetime, unreadable
 from careloom.functions.numbers import round_percent
 
+# rows of a field in a report, and the parts in which a field's values are ranked first
+REPORT_ROWS = 1_000_000
+PARTS = 64
+
 
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Value, count and percent of rows of one column, most frequent first."""
@@ -44,11 +48,30 @@ def value_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     is broadcast has exactly as many rows as the report has columns.
     """
     counts = value_counts(df, columns or profiled_columns(df))
+    return _with_percent(counts, counts)
+
+
+def _with_percent(rows: DataFrame, counts: DataFrame) -> DataFrame:
     totals = counts.groupBy("field").agg(F.sum("count").alias("__total"))
-    joined = counts.join(F.broadcast(totals), "field")
+    joined = rows.join(F.broadcast(totals), "field")
     return joined.select("field", "value", "count", round_percent(F.col("count"), F.col("__total")).alias("percent"))
 
 
+def top_profile(df: DataFrame, columns: Sequence[str] | None = None, rows: int = REPORT_ROWS) -> DataFrame:
+    """``value_profile`` with the report's cap for each field: its most frequent values, ties by value, NULL first.
+
+    Percents are of all rows.  A value is ranked among those of its field with the same remainder of a hash before it
+    is among the field's, so no task gets a field's values whole: at most ``rows`` of each remainder reach the last
+    rank, and of those a task sends on no more than ``rows``.
+    """
+    counts = value_counts(df, columns or profiled_columns(df))
+    order = [F.desc("count"), F.asc_nulls_first("value")]
+    best = counts.withColumn("__part", F.pmod(F.xxhash64("value"), F.lit(PARTS)))
+    for keys in (["field", "__part"], ["field"]):
+        best = best.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("__rank") <= rows)
+    return _with_percent(best.select("field", "value", "count"), counts)
+
+
 def date_columns(df: DataFrame, spec: DataFrame | None = None, table: str | None = None) -> list[str]:
     """Date columns by the spec's type; by name when there is no spec."""
     if spec is None:

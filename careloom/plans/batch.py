@@ -17,7 +17,7 @@ from careloom.operators.dedup import Dedup, dedup
 from careloom.operators.history import merge_history
 from careloom.operators.lookup import remap_ids
 from careloom.operators.merge import union_all
-from careloom.operators.profile import date_columns, monthly_counts, value_profile
+from careloom.operators.profile import date_columns, monthly_counts, top_profile, value_profile
 from careloom.operators.result import TOUCHED
 from careloom.plans import chains, mapping, pcornet
 from careloom.sinks.stage import write_rejects, write_stage
@@ -161,8 +161,10 @@ def monthly_report(tables: Mapping[str, DataFrame], spec: DataFrame | None = Non
     return _report({t: df for t, df in tables.items() if dated[t]}, lambda t, df: monthly_counts(df, dated[t], ordered=False))
 
 
-def distinct_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _report({t: df for t, df in tables.items() if t not in NOT_PROFILED}, lambda _, df: value_profile(df))
+def distinct_report(tables: Mapping[str, DataFrame], rows: int | None = None) -> DataFrame:
+    """Values of all columns that are not identifiers; ``rows`` keeps that many of each, the most frequent."""
+    profiled = {t: df for t, df in tables.items() if t not in NOT_PROFILED}
+    return _report(profiled, lambda _, df: top_profile(df, rows=rows) if rows else value_profile(df))
 
 
 def _report(tables: Mapping[str, DataFrame], one: Callable[[str, DataFrame], DataFrame]) -> DataFrame:

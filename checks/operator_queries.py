@@ -92,6 +92,7 @@ PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailp
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 # identifiers are not profiled
 EVENT_COLUMNS = ["ts", "event_type", "value", "props"]
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"]
 ORDER_CODES = ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
@@ -118,6 +119,15 @@ def _(t: Inputs):
     return batch.distinct_report({"PART": t.part, "ORDERS": t.orders, "EVENTS": t.events})
 
 
+def _top_sql(table: str, columns: list[str], rows: int) -> str:
+    return f"SELECT * FROM ({_profile_sql(table, columns)}) QUALIFY row_number() OVER (PARTITION BY field ORDER BY count DESC, value NULLS FIRST) <= {rows}"
+
+
+@query("distinct_values_topk", _top_sql("lineitem", LINE_COLUMNS, 100))
+def _(t: Inputs):
+    return profile.top_profile(t.lineitem, LINE_COLUMNS, 100)
+
+
 def _month_sql(table: str, column: str) -> str:
     return f"SELECT '{column}' AS field, strftime({column}, '%Y-%m') AS year_month, count(*) AS count FROM {table} GROUP BY 2"
 
@@ -1093,6 +1103,30 @@ def _(t: Inputs):
     return t.view(LAYOUTS).select("event_id", dates.format_date(c).alias("day"), dates.format_time(c).alias("clock"))
 
 
+_HALF = f"CASE WHEN substr({_T}, 1, 2) < '12' THEN 'am' ELSE 'pm' END"
+_CLOCK12 = f"CAST((CAST(substr({_T}, 1, 2) AS INT) + 11) % 12 + 1 AS STRING) || substr({_T}, 3, 3)"
+_LONG = (
+    f"CASE {_M} WHEN '01' THEN 'January' WHEN '02' THEN 'February' WHEN '03' THEN 'March' WHEN '04' THEN 'April' WHEN '05' THEN 'May' WHEN '06' THEN 'June' "
+    f"WHEN '07' THEN 'July' WHEN '08' THEN 'August' WHEN '09' THEN 'September' WHEN '10' THEN 'October' WHEN '11' THEN 'November' ELSE 'December' END"
+)
+# what none of the shapes fits, with the whole time of day; 'th' stands for any ordinal
+BY_PARTS = [
+    f"{_D} || 'T' || {_T}", f"{_D} || 'T' || {_T} || '.250Z'", f"{_D} || 'T' || {_T} || '+02:00'", f"{_D} || ' ' || substr({_T}, 1, 5)",
+    f"{_Y} || {_M} || {_DD} || 'T' || replace({_T}, ':', '')", f"{_Y} || '.' || {_M} || '.' || {_DD} || ' ' || {_T}", f"{_M} || '.' || {_DD} || '.' || {_Y} || ' ' || {_T}",
+    f"{_LONG} || ' ' || {_DD} || ', ' || {_Y} || ' ' || {_CLOCK12} || ' ' || {_HALF}", f"{_DD} || ' ' || {_LONG} || ' ' || {_Y} || ' ' || {_T}",
+    f"'Monday, ' || {_LONG} || ' ' || {_DD} || 'th, ' || {_Y} || ' at ' || {_CLOCK12} || {_HALF}", f"'Tue, ' || {_DD} || ' ' || {_MON} || ' ' || {_Y} || ' ' || {_T} || ' GMT'",
+    f"'Wed ' || {_MON} || ' ' || {_DD} || ' ' || {_T} || ' ' || {_Y}", f"{_DD} || '/' || {_MON} || '/' || {_Y} || ' ' || {_T}", f"{_Y} || '-' || {_MON} || '-' || {_DD} || ' ' || {_T}",
+    f"{_T} || ' ' || {_M} || '/' || {_DD} || '/' || {_Y}", f"{_M} || '/' || {_DD} || '/' || {_Y} || ', ' || {_CLOCK12} || upper({_HALF})",
+]
+PARTS = f"SELECT event_id, ts, CASE event_id % {len(BY_PARTS)} {' '.join(f'WHEN {k} THEN {w}' for k, w in enumerate(BY_PARTS))} END AS c FROM {{events}}"
+
+
+@query("dates_by_parts", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M') AS clock FROM events")
+def _(t: Inputs):
+    c = F.col("c")
+    return t.view(PARTS).select("event_id", dates.format_date(c).alias("day"), dates.format_time(c).alias("clock"))
+
+
 @query(
     "unreadable_dates",
     f"SELECT 'c' AS field, count(*) AS unreadable FROM ({_duck(LAYOUTS)}) WHERE trim(c) <> '' AND {job_sql.FUNCTIONS['format_date']('c')} IS NULL",

@@ -1,7 +1,9 @@
 """Scalar functions on hand-made rows."""
 
 import base64
+import datetime
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +165,44 @@ def test_encounter_type_rules(spark):
     df = spark.createDataFrame(lines, "f STRING, b STRING, r STRING, h STRING, p STRING, m STRING, want STRING")
     got = add_encounter_type(df, "f", "b", "r", "h", "p", ["m"], name="got").where("NOT got <=> want").collect()
     assert got == []
+
+
+# layouts read by their parts, besides those with a shape of their own
+LAYOUTS = (
+    "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S+00:00", "%Y-%m-%dT%H:%M:%S.%f",
+    "%Y-%m-%dT%H:%M:%S.%f+02:00", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %I:%M %p", "%Y-%m-%d %I:%M:%S %p",
+    "%Y-%m-%d %H:%M:%S UTC", "%Y-%m-%d %H:%M:%S-05:00", "%Y-%m-%d %H:%M:%S -0500", "%Y%m%dT%H%M%S", "%Y%m%dT%H%M", "%Y%m%dT%H%M%SZ",
+    "%Y%m%d%H%M", "%Y%m%d %H:%M", "%Y%m%d %H:%M:%S", "%Y/%m/%d %H:%M", "%Y/%m/%d %H:%M:%S", "%Y/%m/%d %I:%M %p", "%Y.%m.%d",
+    "%Y.%m.%d %H:%M", "%m.%d.%Y", "%m.%d.%Y %H:%M", "%m/%d/%Y %I:%M%p", "%m/%d/%Y %I%p", "%m/%d/%Y %I %p", "%m/%d/%Y %H:%M:%S.%f",
+    "%m/%d/%Y, %I:%M:%S %p", "%m-%d-%Y %H:%M", "%m-%d-%Y %I:%M:%S %p", "%m/%d/%y %H:%M", "%m/%d/%y %I:%M %p", "%m-%d-%y", "%m.%d.%y",
+    "%m %d %Y", "%B %d, %Y", "%B %d %Y", "%b %d %Y", "%b. %d, %Y", "%B %d, %Y %H:%M", "%B %d, %Y %I:%M %p", "%B %d, %Y at %I:%M %p",
+    "%b %d %Y %I:%M%p", "%d %B %Y", "%d %B %Y %H:%M", "%d %b %Y %H:%M:%S", "%d-%b-%Y %H:%M:%S", "%d-%b-%y", "%d%b%y",
+    "%d%B%Y", "%d %b, %Y", "%d-%B-%Y", "%d/%b/%Y", "%d/%b/%Y %H:%M:%S", "%d.%b.%Y", "%Y-%b-%d", "%Y %B %d", "%Y-%b-%d %H:%M", "%b-%d-%Y",
+    "%b/%d/%Y", "%A, %B %d, %Y", "%a, %d %b %Y", "%a, %d %b %Y %H:%M:%S GMT", "%a %b %d %H:%M:%S %Y", "%a %d %b %Y",
+    "%A %d %B %Y %I:%M %p", "%a %m/%d/%Y", "%d of %B %Y", "%dth of %B, %Y", "%B %dth, %Y", "%H:%M %m/%d/%Y", "%H:%M:%S %Y-%m-%d",
+    "%I:%M %p %B %d, %Y", "%m/%d/%Y %I:%M a.m.", "%m/%d/%Y %I:%M P.M.", "%m/%d/%Y %H:%M EST",
+)
+
+
+def test_layouts_by_parts(spark):
+    """Sixty moments in each layout, against what a general parser of dates makes of them."""
+    parser = pytest.importorskip("dateutil.parser")
+    draw, texts = random.Random(3), []
+    for layout in LAYOUTS:
+        for _ in range(60):
+            seconds, micros = draw.randrange(60 * 365 * 86400), draw.randrange(10**6)
+            texts.append((datetime.datetime(1980, 1, 1) + datetime.timedelta(seconds=seconds, microseconds=micros)).strftime(layout))
+    expected = [parser.parse(t, tzinfos=lambda *_: datetime.timezone.utc) for t in texts]
+    assert apply(spark, dates.format_date, texts) == [e.strftime("%Y-%m-%d") for e in expected]
+    assert apply(spark, dates.format_time, texts) == [e.strftime("%H:%M") for e in expected]
+
+
+def test_parts_that_make_no_date(spark):
+    lost = [
+        "bad", "", None, "2020", "jan", "5 jan", "march 2020", "maybe 5 2020", "13/13/2020", "31 Feb 2024", "1/5/2024 13:00 PM", "1/2/3/4",
+        "2020-25-12", "10:30:99 2020-01-02", "2020-01-01 24:00", "0/5/2024", "5 January", "12", "1 2 3 4 5 " * 1000, "9" * 5000,
+    ]
+    assert apply(spark, dates.format_date, lost) == [None] * len(lost)
+    alone = ["3:05 pm", "12am", "12:10 AM", "10:30", "7 P.M.", "13:00 pm", "noon"]
+    assert apply(spark, dates.format_date, alone) == [None] * len(alone)
+    assert apply(spark, dates.format_time, alone) == ["15:05", "00:00", "00:10", "10:30", "19:00", None, None]

@@ -371,3 +371,13 @@ def test_missing_tables_ignore_case(spark):
     present = spark.createDataFrame([("death",)], "tableName STRING")
     assert rows(merge.missing_tables(spec, present)) == [("VITAL",)]
     assert reference.table_headers(spec, "DEATH") == ["a", "b"]
+
+
+def test_top_of_every_field(spark):
+    df = spark.createDataFrame([(f"v{n % 40}" if n % 3 else None, "same") for n in range(300)], "a STRING, b STRING")
+    whole = sorted((r["field"], -r["count"], r["value"] or "", r["value"], r["percent"]) for r in profile.value_profile(df).collect())
+    for rows_kept in (1, 2, 7, 1000):
+        expected = [r for f in ("a", "b") for r in [w for w in whole if w[0] == f][:rows_kept]]
+        got = profile.top_profile(df, rows=rows_kept).collect()
+        assert sorted((r["field"], -r["count"], r["value"] or "", r["value"], r["percent"]) for r in got) == expected
+    assert profile.top_profile(df.limit(0)).count() == 0

@@ -195,3 +195,10 @@ def test_a_hot_patient_is_split_in_histories(big_cluster):
     assert "skew=true" in run_plan(merged)
     assert merged.count() == old.count()
     assert merged.where("ADDRESS_PERIOD_END IS NOT NULL").count() == new.count()
+
+
+def test_report_cap_is_applied_before_the_shuffle(spark):
+    df = spark.read.parquet(f"{SMALL}/orders.parquet")
+    text = plan(profile.top_profile(df, ["o_orderpriority", "o_totalprice"], 100))
+    assert text.count("WindowGroupLimit") >= 4
+    assert "Partial" in text
