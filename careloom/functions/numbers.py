@@ -57,4 +57,5 @@ def non_ratio_number(c: Column) -> Column:
 
 
 def round_percent(part: Column, total: Column) -> Column:
-    return F.when(total == 0, F.lit(0.0)).otherwise(F.round(part / total * 100, 2))
+    """Percent to two places, in the steps of ``round(100.0 * part / total, 2)`` in SQL, so that halves fall on the same side."""
+    return F.when(total == 0, F.lit(0.0)).otherwise(F.round(F.lit(100.0) * part / total * 100) / 100)

@@ -5,6 +5,7 @@ import datetime
 import hashlib
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +207,11 @@ def test_parts_that_make_no_date(spark):
     alone = ["3:05 pm", "12am", "12:10 AM", "10:30", "7 P.M.", "13:00 pm", "noon"]
     assert apply(spark, dates.format_date, alone) == [None] * len(alone)
     assert apply(spark, dates.format_time, alone) == ["15:05", "00:00", "00:10", "10:30", "19:00", None, None]
+
+
+@pytest.mark.parametrize("total", [200, 2000, 20_000, 60_175])
+def test_halves_of_percents_round_as_in_sql(spark, total):
+    part = F.col("id")
+    got = spark.range(total + 1).select("id", numbers.round_percent(part, F.lit(total).cast("bigint"))).orderBy("id").collect()
+    sql = f"SELECT range, round(100.0 * range / {total}::HUGEINT, 2) FROM range({total + 1}) ORDER BY 1"
+    assert [tuple(r) for r in got] == duckdb.sql(sql).fetchall()
