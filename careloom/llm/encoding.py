@@ -19,6 +19,8 @@ from careloom.llm.runtime import SEGMENT_BYTES, segments
 BATCH_BYTES = 2 << 20
 # pieces remembered by one worker; the older half is forgotten first
 REMEMBERED = 1_200_000
+# bytes of the words that one worker remembers and of their ids, besides the objects' own
+REMEMBERED_BYTES = 64 << 20
 # letters of ASCII and Latin-1, and one closing mark that is a token of its own
 _LETTERS_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)")
 _SPACES_IN_A_ROW = re.compile(rb"[\x09-\x0d\x20]{2}|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\xaa\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -105,11 +107,11 @@ def _kind(path: str) -> str:
 class TextIds:
     """Ids of whole texts as little-endian unsigned integers of ``width`` bytes."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        self.library, self.kind, self.remembered = _library(path), _kind(path), remembered
+    def __init__(self, path: str, remembered: int = REMEMBERED, remembered_bytes: int = REMEMBERED_BYTES):
+        self.library, self.kind = _library(path), _kind(path)
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.width = array.array(self.code).itemsize
-        self.known = _Known(self, {})
+        self.known = _Known(self, remembered // 2, remembered_bytes // 2)
 
     def pack(self, ids: list[int]) -> bytes:
         return array.array(self.code, ids).tobytes()
@@ -126,36 +128,47 @@ class TextIds:
         return b"".join(map(self._words, segments(text)))
 
     def _words(self, text: bytes) -> bytes:
-        if len(self.known) > self.remembered // 2:
-            self.known = _Known(self, self.known)
         known = self.known
         return b"".join([known[w] for w in text.lower().split()])
 
 
 class _Known(dict):
-    """Ids of words, encoded when first asked for; what an earlier generation knows is taken over.
+    """Ids of words, encoded when first asked for, in two generations of bounded number and bytes.
 
+    A full generation takes the place of the one before; what the older still knows is taken over when asked for.
     A word of letters alone is one word of the tokenizer too and goes to its model at once, spelled as byte-level
     tokenizers write bytes; with a mark behind it, it is two.
     """
 
-    def __init__(self, ids: TextIds, before: dict):
+    def __init__(self, ids: TextIds, words: int, size: int):
         super().__init__()
         self.model, self.encode, self.pack, self.letters = ids.library.model, ids.encode, ids.pack, _byte_letters()
-        self.before = dict(before)
+        self.words, self.size, self.held, self.before = words, size, 0, {}
 
     def __missing__(self, word: bytes) -> bytes:
         value = self.before.get(word)
         if value is None:
-            if word.isalpha():
-                value = self._letters(word.decode())
-            elif m := _LETTERS_MARK.fullmatch(word):
-                value = self[m[1]] + self[m[2]] if m[2] else self._letters(word.decode().lower().encode().decode("latin-1").translate(self.letters))
-            else:
-                value = self.encode(word)
+            value = self._encoded(word)
+        cost = len(word) + len(value)
+        if cost > self.size:
+            return value
+        if len(self) >= self.words or self.held + cost > self.size:
+            self.before, self.held = dict(self), 0
+            self.clear()
         self[word] = value
+        self.held += cost
         return value
 
+    def _encoded(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self._letters(word.decode())
+        if word[-1] in b".," and (letters := word[:-1]).isalpha():
+            return (self.get(letters) or self._letters(letters.decode())) + self[word[-1:]]
+        if m := _LETTERS_MARK.fullmatch(word):
+            letters = self._letters(m[1].decode().lower().encode().decode("latin-1").translate(self.letters))
+            return letters + self[m[2]] if m[2] else letters
+        return self.encode(word)
+
     def _letters(self, spelled: str) -> bytes:
         return self.pack([t.id for t in self.model.tokenize(spelled)])
 

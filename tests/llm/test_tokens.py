@@ -67,6 +67,18 @@ def test_memory_forgets(word):
         assert np.frombuffer(ids.ids(text.encode()), "<u2").tolist() == word(text)
 
 
+def test_memory_is_bounded(word):
+    few, small = encoding.TextIds(WORD, 100), encoding.TextIds(WORD, 10**6, 3000)
+    short = " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}x, {n}" for n in range(600))
+    long = " ".join("ab" * 20 + str(n) for n in range(300)) + " " + "cd" * 5000
+    for ids in (few, small):
+        for text in (short, long, short):
+            assert np.frombuffer(ids.ids(text.encode()), "<u2").tolist() == word(text)
+            held = {**ids.known.before, **ids.known}
+            assert len(held) <= 100 or ids is small
+            assert sum(len(w) + len(v) for w, v in held.items()) <= 3000 or ids is few
+
+
 def test_counts(spark, docs, byte):
     got = {tuple(r) for r in queries.op2_token_counts(spark, SMALL).collect()}
     expected = {(d, len(t.encode()), len(byte(t)), len(byte(t)) > 512) for d, t in pairs(docs)}
