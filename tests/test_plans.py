@@ -122,6 +122,40 @@ def test_a_hot_gram_is_split(big_cluster, monkeypatch):
     assert "skew=true" in run_plan(result.good)
 
 
+def broadcasts(text):
+    """What is computed for each broadcast of a plan that ran, from its last shuffles on."""
+    lines = text.splitlines()
+    depth = [len(re.match(r"[\s:|+\-*]*", x).group()) for x in lines]
+    for at in (k for k, x in enumerate(lines) if "BroadcastExchange" in x):
+        kept, top = [], None
+        for k in range(at + 1, len(lines)):
+            if depth[k] <= depth[at]:
+                break
+            top = top if top is not None and depth[k] > top else None
+            if top is None:
+                kept.append(lines[k])
+                top = depth[k] if "ShuffleQueryStage" in lines[k] else None
+        yield "\n".join(kept)
+
+
+def long_list(spark):
+    """4,000 texts of 14 letters a and b, in which 500 of 2,000 listed ones occur; all runs of four letters are common."""
+
+    def text(number):
+        return F.translate(F.lpad(F.bin(number), 14, "0"), "01", "ab")
+
+    return spark.range(4_000).select(text(F.col("id")).alias("T")), spark.range(0, 16_000, 8).select(text(F.col("id")).alias("p"))
+
+
+def test_places_of_texts_are_not_sent_to_all_tasks(spark):
+    """Spark takes what is exploded to be as small as the table it comes from."""
+    texts, listed = long_list(spark)
+    result = repairs.remove_patterns(texts, "T", listed)
+    text = run_plan(result.good)
+    assert "Generate" in text and list(broadcasts(text))
+    assert not any("Generate" in below for below in broadcasts(text))
+
+
 @pytest.mark.parametrize("operator", ["valid codes", "zip", "codes"])
 def test_a_hot_key_is_split_in_lookups_of_lists(big_cluster, operator, monkeypatch):
     df, up = hot(big_cluster), parents(big_cluster)
