@@ -156,6 +156,26 @@ def test_places_of_texts_are_not_sent_to_all_tasks(spark):
     assert not any("Generate" in below for below in broadcasts(text))
 
 
+def test_texts_with_common_runs_are_not_paired(spark, monkeypatch):
+    """No join makes more rows than the texts have letters."""
+    # then the rows of a join are the pairs that would be tried
+    monkeypatch.setattr(patterns.F, "rlike", lambda text, p: F.lit(True))
+    texts, listed = long_list(spark)
+    rejects = repairs.remove_patterns(texts, "T", listed).rejects
+    found = rejects.collect()
+    made, left = [], [rejects._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.nodeName()
+        if "Join" in name:
+            made.append(node.metrics().get("numOutputRows").get().value())
+        inner = node.executedPlan() if name == "AdaptiveSparkPlan" else node.plan() if "QueryStage" in name else None
+        children = node.children()
+        left += [inner] if inner is not None else [children.apply(k) for k in range(children.size())]
+    assert made and max(made) <= 4_000 * 14
+    assert len(found) == 500
+
+
 @pytest.mark.parametrize("operator", ["valid codes", "zip", "codes"])
 def test_a_hot_key_is_split_in_lookups_of_lists(big_cluster, operator, monkeypatch):
     df, up = hot(big_cluster), parents(big_cluster)
