@@ -10,6 +10,8 @@ SETTINGS = {
     # hot keys are split and small sides broadcast by measured size
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # digests are hexadecimal text, of which Spark's usual codec saves nothing and this one half
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from careloom.functions.ids import pseudonym
 from careloom.operators import schema
 from careloom.plans import pcornet
 from careloom.plans.spec import columns_used
+from careloom.session import tune
 from careloom.sinks import stage
 from careloom.sinks import warehouse as load
 from careloom.sources import files, reference, warehouse
@@ -131,6 +133,13 @@ def test_stage_and_export(spark, tmp_path):
     assert files.read_stage(spark, f"{tmp_path}/u").count() == 6
 
 
+def test_digests_take_little_more_than_half_their_length_on_disk(spark, tmp_path):
+    digests = tune(spark).range(20_000).select(pseudonym(F.col("id"), "ABC", "key").alias("PATID"))
+    stage.write_stage(digests, str(tmp_path / "ids"))
+    assert sum(f.stat().st_size for f in (tmp_path / "ids").glob("*.parquet")) < 20_000 * 40
+    assert spark.read.parquet(str(tmp_path / "ids")).exceptAll(digests).isEmpty()
+
+
 def test_widths_are_seen_while_a_stage_is_written(spark, tmp_path):
     df = spark.createDataFrame([("a", None, 100), ("bcd", None, 5)], "T STRING, NOTHING STRING, N INT")
     seen = stage.write_measured_stage(df, f"{tmp_path}/m")
